@@ -1,4 +1,4 @@
-"""Session defaults and lineage cuts."""
+"""Session defaults, the shared folder and lineage cuts."""
 
 from __future__ import annotations
 
@@ -26,19 +26,25 @@ def build_session(app_name: str = "affinitext", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the reliable checkpoint folder and go on from there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in `spark.checkpoint.dir`.
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`; only a local
-    session without that setting gets a folder of its own.
+    Only a local session without that setting gets a temporary folder of its own.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+        folder = tempfile.mkdtemp(prefix="affinitext-")
+        context.setCheckpointDir(folder)
+    return folder
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Write `df` to the reliable checkpoint folder and go on from there."""
+    context = df.sparkSession.sparkContext
+    folder = shared_folder(df.sparkSession)
     if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="affinitext-checkpoint-")
         context.setCheckpointDir(folder)
     return df.checkpoint()
