@@ -8,9 +8,9 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from affinitext.functions import dates, text
+from affinitext.session import cut_lineage
 
 # --- fixed values ----------------------------------------------------------------------
 SEEN_YEARS = (2020, 2021)
@@ -114,18 +114,16 @@ def sample_exact(
 ) -> DataFrame:
     """Exactly `n` rows without replacement, the same ones for the same seed.
 
-    Each partition keeps its own `n` best keys, so nothing is sorted as a whole. Fewer
-    than `n` rows are an error.
+    Each partition keeps its own `n` best keys, so nothing is sorted as a whole. The
+    sample is written once: whatever uses it sees the same rows without drawing again.
+    Fewer than `n` rows are an error.
     """
     key = F.md5(F.concat(F.lit(seed), F.col(id_col).cast("string")))
-    picked = df.withColumn("_key", key).orderBy("_key", id_col).limit(n)
-    counted = picked.withColumn("_rows", F.count(F.lit(1)).over(Window.partitionBy()))
-    enough = F.when(F.col("_rows") == n, F.col(id_col)).otherwise(
-        F.raise_error(F.lit(f"fewer than {n} rows to sample from")).cast(
-            df.schema[id_col].dataType
-        )
-    )
-    return counted.withColumn(id_col, enough).drop("_key", "_rows")
+    keyed = df.withColumn("_key", key)
+    picked = cut_lineage(keyed.orderBy("_key", id_col).limit(n).drop("_key"))
+    if picked.count() < n:
+        raise ValueError(f"fewer than {n} rows to sample from")
+    return picked
 
 
 def build_eval_set(

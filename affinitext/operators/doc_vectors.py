@@ -29,6 +29,15 @@ def build_vocab(
     )
 
 
+def with_fallback(words: DataFrame, oov: DataFrame | None = None) -> DataFrame:
+    """Word vectors, and those of `oov` for the words that have none."""
+    known = words.select("word", "vector")
+    if oov is not None:
+        unknown = oov.select("word", "vector").join(words.select("word"), "word", "left_anti")
+        known = known.unionByName(unknown)
+    return known.filter(F.col("vector").isNotNull())
+
+
 def lookup_tokens(
     tokens: DataFrame,
     words: DataFrame,
@@ -43,10 +52,7 @@ def lookup_tokens(
     small enough to broadcast, occurrences are looked up where they are (tf is 1); with a
     larger one, repeats are counted first and the counted pairs joined by salted shuffle.
     """
-    if oov is not None:
-        unknown = oov.select("word", "vector").join(words.select("word"), "word", "left_anti")
-        words = words.select("word", "vector").unionByName(unknown)
-    words = words.select("word", "vector").filter(F.col("vector").isNotNull())
+    words = with_fallback(words, oov)
     if broadcast is None:
         broadcast = fits_broadcast(words)
     occurrences = tokens.select(id_col, F.explode(tokens_col).alias("word"))
@@ -59,6 +65,17 @@ def lookup_tokens(
     )
 
 
+def _lookup_summands(
+    tokens: DataFrame, words: DataFrame, id_col: str, tokens_col: str, broadcast: bool
+) -> DataFrame:
+    """`lookup_tokens` for summing up: vectors are converted per word, not per occurrence."""
+    converted = words.filter(F.col("vector").isNotNull()).select(
+        "word", array_to_vector("vector").alias("vector")
+    )
+    found = lookup_tokens(tokens, converted, None, id_col, tokens_col, broadcast)
+    return found.withColumn("tf", F.col("tf").cast("double"))
+
+
 def mean_vectors(
     tokens: DataFrame,
     words: DataFrame,
@@ -72,9 +89,11 @@ def mean_vectors(
     document without a known word has no row here; joining vectors to a corpus turns that
     into NULL.
     """
+    if broadcast is None:
+        broadcast = fits_broadcast(words.select("word", "vector"))
     unit_words = words.select("word", unit("vector").alias("vector"))
-    known = lookup_tokens(tokens, unit_words, None, id_col, tokens_col, broadcast)
-    mean = Summarizer.mean(array_to_vector("vector"), F.col("tf").cast("double"))
+    known = _lookup_summands(tokens, unit_words, id_col, tokens_col, broadcast)
+    mean = Summarizer.mean(F.col("vector"), F.col("tf"))
     return (
         known.groupBy(id_col)
         .agg(mean.alias("mean"))
@@ -93,10 +112,11 @@ def pooled_vectors(
     broadcast: bool | None = None,
 ) -> DataFrame:
     """Mean and maximum of the raw word vectors, one after the other, per document."""
-    known = lookup_tokens(tokens, words, oov, id_col, tokens_col, broadcast)
-    pooled = Summarizer.metrics("mean", "max").summary(
-        array_to_vector("vector"), F.col("tf").cast("double")
-    )
+    words = with_fallback(words, oov)
+    if broadcast is None:
+        broadcast = fits_broadcast(words)
+    known = _lookup_summands(tokens, words, id_col, tokens_col, broadcast)
+    pooled = Summarizer.metrics("mean", "max").summary(F.col("vector"), F.col("tf"))
     return (
         known.groupBy(id_col)
         .agg(pooled.alias("pooled"))

@@ -40,6 +40,16 @@ def read_corpus(
     return reader.format(fmt).load(path)
 
 
+def spread_out(df: DataFrame) -> DataFrame:
+    """Share out the rows of a few input files over all cores.
+
+    A file that is one row group is one task however large; text work on it would use one
+    core. Input of at least as many files as there are cores is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def write_corpus(
     df: DataFrame, path: str, fmt: str = "parquet", by_year: bool = False, mode: str = "error"
 ) -> None:

@@ -5,18 +5,46 @@ Each SQL constant is a list of CTEs; `with_ctes` puts those a query names in fro
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinitext.functions.text import TOKEN_PATTERN, plain_tokens, tokenize
-from affinitext.operators.doc_vectors import build_index, build_vocab, mean_vectors
+from affinitext.operators.doc_vectors import (
+    build_index,
+    build_vocab,
+    mean_vectors,
+    pooled_vectors,
+)
+from affinitext.operators.words import missing_words, oov_vectors
+from affinitext.session import shared_folder
+from affinitext.sources.corpus import spread_out
 
 DIMS = 16
 PART = 6  # places that floating-point results are compared to
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    read = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread_out(read) if name == "documents" else read
+
+
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
+def stored(
+    spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]
+) -> DataFrame:
+    """A table worked out once per session and read back, as word vectors and indexes are."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _STORED:
+        path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+        cores = spark.sparkContext.defaultParallelism
+        build().repartition(cores).write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])
 
 
 def quoted(text: str) -> str:
@@ -45,7 +73,7 @@ def long_vector(df: DataFrame, key: str, column: str = "vector") -> DataFrame:
 
 # --- documents as a dated corpus -------------------------------------------------------
 
-DATE = "timestampadd(HOUR, cast(doc_id*37%35064 as int), timestamp_ntz'2018-01-01 00:00:00')"
+DATE = "timestampadd(HOUR, cast(doc_id*1237%35064 as int), timestamp_ntz'2018-01-01 00:00:00')"
 
 
 def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +87,7 @@ def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 DOCS = """docs AS (
-  SELECT doc_id AS id, TIMESTAMP '2018-01-01' + to_hours((doc_id*37%35064)::INT) AS pub_date,
+  SELECT doc_id AS id, TIMESTAMP '2018-01-01' + to_hours((doc_id*1237%35064)::INT) AS pub_date,
          source AS feed, text AS text_cleaned, lang
   FROM documents)"""
 
@@ -95,6 +123,10 @@ PRONOUNS = ["il", "elle", "qui", "that", "he", "it", "sie", "l’", "n'"]
 
 
 def lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(spark, sf_dir, "lexicon", lambda: make_lexicon(spark, sf_dir))
+
+
+def make_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forms seen twice; lemma without a final s, part of speech by list."""
     form = F.col("form")
     return (
@@ -155,6 +187,11 @@ def hash_vector(word: Column, mark: str = "#", dims: int = DIMS) -> Column:
 
 
 def words(spark: SparkSession, sf_dir: str, mark: str = "#") -> DataFrame:
+    name = "words" if mark == "#" else "other-words"
+    return stored(spark, sf_dir, name, lambda: make_words(spark, sf_dir, mark))
+
+
+def make_words(spark: SparkSession, sf_dir: str, mark: str = "#") -> DataFrame:
     """A vector for every token seen twice; the others stay unknown words."""
     vocab = build_vocab(tokens(spark, sf_dir))
     return vocab.select("word", hash_vector(F.col("word"), mark).alias("vector"))
@@ -179,10 +216,38 @@ means AS (SELECT id, i, m / sqrt(sum(m*m) OVER (PARTITION BY id)) AS x FROM sums
 mean_vecs AS (SELECT id, list(x ORDER BY i) AS v FROM means GROUP BY id)"""
 
 
+def fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Subword vectors of the tokens without a word vector."""
+
+    def build() -> DataFrame:
+        known = words(spark, sf_dir)
+        return oov_vectors(known, missing_words(tokens(spark, sf_dir), known))
+
+    return stored(spark, sf_dir, "fallback", build)
+
+
+def doc_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(
+        spark, sf_dir, "doc-vectors",
+        lambda: mean_vectors(tokens(spark, sf_dir), words(spark, sf_dir)),
+    )
+
+
+def pooled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored(
+        spark, sf_dir, "pooled-vectors",
+        lambda: pooled_vectors(
+            tokens(spark, sf_dir), words(spark, sf_dir), fallback(spark, sf_dir)
+        ),
+    )
+
+
 def mean_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus's search index on mean vectors."""
-    vectors = mean_vectors(tokens(spark, sf_dir), words(spark, sf_dir))
-    return build_index(corpus(spark, sf_dir), vectors)
+    return stored(
+        spark, sf_dir, "mean-index",
+        lambda: build_index(corpus(spark, sf_dir), doc_vectors(spark, sf_dir)),
+    )
 
 
 def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,19 +7,12 @@ from pyspark.sql import functions as F
 from affinitext.functions.text import plain_tokens
 from affinitext.operators.compare import compare_models, self_hits
 from affinitext.operators.corpus import build_eval_set, filter_before, filter_years
-from affinitext.operators.doc_vectors import (
-    attach_vectors,
-    build_index,
-    mean_vectors,
-    pooled_vectors,
-)
+from affinitext.operators.doc_vectors import attach_vectors, mean_vectors
 from affinitext.operators.queries import with_query_columns
 from affinitext.operators.rank import clamp_n, exclude_self, rank_per_query, top_n
 from affinitext.operators.score import best_candidates, score_all
-from affinitext.operators.words import missing_words, oov_vectors
 from affinitext.plans.evaluate import evaluate, rank_by_model
 from affinitext.plans.search import batch_search, resolve_queries, search
-from affinitext.session import cut_lineage
 from checks.inputs import (
     DATE,
     DIMS,
@@ -27,10 +20,12 @@ from checks.inputs import (
     EMBEDDED,
     MEANS,
     corpus,
+    doc_vectors,
     embedding_vectors,
     lexicon,
     mean_index,
     plain_list,
+    pooled,
     quoted,
     rounded,
     table,
@@ -192,7 +187,7 @@ asked AS (SELECT 0 AS id, {quoted(ASKED_TEXT)} AS text_cleaned),
 {preprocessed_sql('asked')},
 asked_sums AS (SELECT i, avg(x) AS m FROM singles JOIN units ON units.word = w GROUP BY i),
 q AS (SELECT list(m ORDER BY i) AS v FROM asked_sums),
-placed AS (
+answers AS (
   SELECT d.*, list_cosine_similarity(m.v, q.v) AS score,
          row_number() OVER (ORDER BY round(list_cosine_similarity(m.v, q.v), 9) DESC NULLS LAST, id)
            AS rank, count(*) OVER () AS c
@@ -203,7 +198,7 @@ placed AS (
 @case(with_ctes(SEARCH_BY_TEXT, f"""
 SELECT rank, id, strftime(pub_date, '%Y-%m-%d %H:%M:%S') AS pub_date, feed, lang, text_cleaned,
        round(score, 6) + 0.0 AS cosine_sim_score, {quoted(ASKED_TEXT)} AS query
-FROM placed WHERE rank <= CASE WHEN c < 5 THEN 1 ELSE 5 END AND score IS NOT NULL"""))
+FROM answers WHERE rank <= CASE WHEN c < 5 THEN 1 ELSE 5 END AND score IS NOT NULL"""))
 def e1_search_by_text(spark, sf_dir):
     docs = corpus(spark, sf_dir)
     known = words(spark, sf_dir)
@@ -260,7 +255,7 @@ FROM flagged WHERE r - self BETWEEN 1 AND CASE WHEN c < n THEN 1 ELSE n END
   AND score IS NOT NULL"""))
 def e2_batch_search(spark, sf_dir):
     docs = corpus(spark, sf_dir)
-    index = cut_lineage(mean_index(spark, sf_dir))
+    index = mean_index(spark, sf_dir)
     queries = resolve_queries(many_queries(spark, sf_dir), index, docs)
     return batch_search(queries, index, docs).select(
         "query_id", F.col("rank").cast("bigint").alias("rank"), "id",
@@ -301,13 +296,9 @@ def eval_inputs(spark, sf_dir):
     """25 + 25 sampled documents and two models, mean and pooled vectors."""
     docs = corpus(spark, sf_dir)
     picked = build_eval_set(filter_years(docs), filter_before(docs), 25, "7")
-    all_tokens = tokens(spark, sf_dir)
-    known = words(spark, sf_dir)
-    fallback = oov_vectors(known, missing_words(all_tokens, known))
-    simple = mean_vectors(all_tokens, known)
-    pooled = pooled_vectors(all_tokens, known, fallback)
-    picked = picked.join(all_tokens, "id")
-    models = {"simple_w2v_results": (simple, simple), "improved_w2v_results": (pooled, pooled)}
+    picked = picked.join(tokens(spark, sf_dir), "id")
+    simple, improved = doc_vectors(spark, sf_dir), pooled(spark, sf_dir)
+    models = {"simple_w2v_results": (simple, simple), "improved_w2v_results": (improved, improved)}
     return picked, docs, models
 
 
