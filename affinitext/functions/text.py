@@ -44,8 +44,7 @@ PARTY_TEXT = "Open Vld|N-VA"
 PARTY_NAME = "Open VLD"
 # ---------------------------------------------------------------------------------------
 
-_AFTER_NON_WORD = r"(?<![\p{L}\p{N}_])"
-_BEFORE_NON_WORD = r"(?![\p{L}\p{N}_])"
+_WORD = r"[\p{L}\p{N}_]"
 
 TOKEN_PATTERN = (
     r"[Aa]ujourd['’]hui"
@@ -60,7 +59,8 @@ DIGITS_PATTERN = r"^[\p{Nd}²³¹⁰⁴-⁹₀-₉]+$"
 
 def expand_honorifics(text: Column) -> Column:
     """`M.`/`m.` at a word start become `monsieur`; `Mme` becomes `madame` anywhere."""
-    sir = F.regexp_replace(text, _AFTER_NON_WORD + r"[Mm]\.", "monsieur")
+    # The test for the character before comes second: most places fail on the letter.
+    sir = F.regexp_replace(text, rf"[Mm](?<!{_WORD}[Mm])\.", "monsieur")
     return F.replace(sir, F.lit("Mme"), F.lit("madame"))
 
 
@@ -73,16 +73,11 @@ def abbreviate_units(text: Column, units: Mapping[str, str] = UNITS) -> Column:
     replaced = text
     for name, symbol in units.items():
         mentions = mentions | F.contains(text, F.lit(name))
-        replaced = F.regexp_replace(
-            replaced, _AFTER_NON_WORD + _literal(name) + _BEFORE_NON_WORD, symbol
-        )
+        whole = rf"\Q{name}\E(?<!{_WORD}\Q{name}\E)(?!{_WORD})"
+        replaced = F.regexp_replace(replaced, whole, symbol)
     return F.when(mentions, replaced).otherwise(text)
 
 
-def _literal(name: str) -> str:
-    return "\\Q" + name + "\\E"
-
-
 def tokenize(text: Column) -> Column:
     """French-aware tokens: elisions split off, hyphenated words and numbers kept whole."""
     return F.regexp_extract_all(text, F.lit(TOKEN_PATTERN), F.lit(0))

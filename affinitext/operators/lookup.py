@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 256 * 2**20
 SALTS = 64
-PUSHED_IDS = 10_000
+PUSHED_IDS = 200
 
 
 def table_bytes(table: DataFrame) -> int:
@@ -20,6 +20,8 @@ def table_bytes(table: DataFrame) -> int:
         column = F.col(field.name)
         if isinstance(field.dataType, T.StringType):
             return F.coalesce(F.octet_length(column), F.lit(0)) + 16
+        if isinstance(field.dataType, T.StructType):
+            return F.coalesce(F.octet_length(F.to_json(column)), F.lit(0)) + 16
         if isinstance(field.dataType, T.ArrayType):
             item = 32 if isinstance(field.dataType.elementType, T.StringType) else 8
             return F.coalesce(F.size(column), F.lit(0)) * item + 16
@@ -63,23 +65,19 @@ def lookup_join(
 
 
 def rows_by_id(
-    table: DataFrame,
-    wanted: DataFrame,
-    on: str = "id",
-    how: str = "inner",
-    max_pushed: int = PUSHED_IDS,
+    table: DataFrame, wanted: DataFrame, on: str = "id", max_pushed: int = PUSHED_IDS
 ) -> DataFrame:
-    """Join `wanted` (few rows) with the rows of a large `table` that have its ids.
+    """Inner join of `wanted` (few rows) with the rows of a large `table` that have its ids.
 
     Up to `max_pushed` ids are also handed to the scan as an IN list, so that row groups
     without them are never read. `wanted` is broadcast when it is measured to be small
-    enough, else joined by shuffle. It is evaluated more than once, so it should be cheap
-    or already written.
+    enough, so that the large table does not move, else joined by shuffle. `wanted` is
+    evaluated more than once, so it should be cheap or already written.
     """
     ids = wanted.select(on).filter(F.col(on).isNotNull()).distinct()
     head = [row[0] for row in ids.limit(max_pushed + 1).collect()]
     if len(head) <= max_pushed:
         table = table.filter(F.col(on).isin(head) if head else F.lit(False))
-    if how == "inner" and fits_broadcast(wanted):
+    if fits_broadcast(wanted):
         wanted = F.broadcast(wanted)
-    return wanted.join(table, on, how)
+    return wanted.join(table, on)

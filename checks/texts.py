@@ -6,7 +6,12 @@ from pyspark.sql import functions as F
 
 from affinitext.functions import text as t
 from affinitext.operators.corpus import fix_party_names
-from affinitext.operators.tokens import annotate, annotate_by_join, normalize, preprocess
+from affinitext.operators.tokens import (
+    annotate,
+    normalize,
+    preprocess,
+    preprocess_annotated,
+)
 from affinitext.plans.prepare import prepare_corpus
 from checks.inputs import (
     DOCS,
@@ -139,10 +144,10 @@ tagged AS (
   LEFT JOIN lexicon l ON l.form = f.form)"""
 
 
-def tagged(spark, sf_dir, way=annotate):
+def tagged(spark, sf_dir, **options):
     docs = phrase_corpus(spark, sf_dir).select(
         "id", t.tokenize(F.col("text_cleaned")).alias("tokens"))
-    annotated = way(docs, lexicon(spark, sf_dir))
+    annotated = annotate(docs, lexicon(spark, sf_dir), **options)
     return annotated.select("id", F.explode("annotated").alias("a")).select("id", "a.*")
 
 
@@ -263,7 +268,7 @@ def j7_annotate(spark, sf_dir):
 @case(with_ctes(TAGGED, ANNOTATED))
 def j7_annotate_by_join(spark, sf_dir):
     """The way for a lexicon too large to travel to the tasks."""
-    return counted(tagged(spark, sf_dir, annotate_by_join))
+    return counted(tagged(spark, sf_dir, limit=0))
 
 
 def preprocessed_sql(source: str) -> str:
@@ -301,14 +306,33 @@ near AS (
 PREPROCESSED = f"{PHRASE_DOCS}, {preprocessed_sql('phrase_docs')}"
 
 
-@case(with_ctes(PREPROCESSED, """
+P1_ROWS = with_ctes(PREPROCESSED, """
 SELECT lists.id, coalesce(string_agg(w, ' ' ORDER BY p, s), '') AS tokens
-FROM lists LEFT JOIN singles USING (id) GROUP BY lists.id"""))
+FROM lists LEFT JOIN singles USING (id) GROUP BY lists.id""")
+
+
+@case(P1_ROWS)
 def p1_preprocess(spark, sf_dir):
     done = preprocess(phrase_corpus(spark, sf_dir), lexicon(spark, sf_dir))
     return done.select("id", t.join_tokens(F.col("preprocessed_text")).alias("tokens"))
 
 
+@case(P1_ROWS)
+def p1_preprocess_by_join(spark, sf_dir):
+    """The way for a lexicon too large to travel to the tasks."""
+    done = preprocess(phrase_corpus(spark, sf_dir), lexicon(spark, sf_dir), limit=0)
+    return done.select("id", t.join_tokens(F.col("preprocessed_text")).alias("tokens"))
+
+
+@case(P1_ROWS)
+def p1_preprocess_annotated(spark, sf_dir):
+    """The way for a user who brings annotated tokens."""
+    docs = normalize(phrase_corpus(spark, sf_dir), into="text")
+    tokens = docs.select("id", t.tokenize(F.col("text")).alias("tokens"))
+    done = preprocess_annotated(annotate(tokens, lexicon(spark, sf_dir)))
+    return done.select("id", t.join_tokens(F.col("preprocessed_text")).alias("tokens"))
+
+
 @case(with_ctes(PREPROCESSED, """
 SELECT lists.id, coalesce(string_agg(
     CASE WHEN mentions AND w = 'open' AND after = 'vld' THEN 'Open VLD' ELSE w END,
