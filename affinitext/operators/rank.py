@@ -17,12 +17,14 @@ def _best_first(score: str, id_col: str) -> list[Column]:
 
 
 def top_n(scored: DataFrame, n: int, score: str = "score", id_col: str = "id") -> DataFrame:
-    """The `n` best-scored rows, ties by id; rows without a score never rank.
+    """The `n` best-scored rows, ties by id; rows without a score, NaN included, never rank.
 
-    Each partition keeps its own `n` best and only those meet.
+    Each partition keeps its own `n` best and only those meet. Rows without a score sort
+    last and are dropped from the `n` kept, so that the score is worked out once per row.
     """
-    known = scored.filter(F.col(score).isNotNull() & ~F.isnan(score))
-    return known.orderBy(*_best_first(score, id_col)).limit(n)
+    known = scored.withColumn(score, F.nanvl(F.col(score), F.lit(None).cast("double")))
+    best = known.orderBy(*_best_first(score, id_col)).limit(n)
+    return best.filter(F.col(score).isNotNull())
 
 
 def rank_per_query(

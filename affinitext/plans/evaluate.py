@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from affinitext.functions.text import display_text, join_tokens
 from affinitext.operators.compare import compare_models
+from affinitext.operators.lookup import rows_by_id
 from affinitext.plans.search import batch_search
 
 EVAL_TOP = 3  # fixed value: ranks looked at per evaluation document
@@ -27,10 +28,9 @@ def rank_by_model(
     """
     ranked = {}
     for name, (query_vectors, corpus_vectors) in models.items():
-        queries = (
-            eval_set.select("id", F.col("text_cleaned").alias("query"))
-            .join(query_vectors, "id")
-            .select(F.col("id").alias("query_id"), "query", "vector", F.lit(n).alias("n"))
+        asked = eval_set.select("id", F.col("text_cleaned").alias("query"))
+        queries = rows_by_id(query_vectors.select("id", "vector"), asked).select(
+            F.col("id").alias("query_id"), "query", "vector", F.lit(n).alias("n")
         )
         hits = batch_search(
             queries, corpus_vectors, corpus.select("id", "text_cleaned"), "none", clamp=False
