@@ -69,15 +69,16 @@ def rows_by_id(
 ) -> DataFrame:
     """Inner join of `wanted` (few rows) with the rows of a large `table` that have its ids.
 
-    Up to `max_pushed` ids are also handed to the scan as an IN list, so that row groups
-    without them are never read. `wanted` is broadcast when it is measured to be small
-    enough, so that the large table does not move, else joined by shuffle. `wanted` is
-    evaluated more than once, so it should be cheap or already written.
+    Up to `max_pushed` rows, their ids are also handed to the scan as an IN list, so that
+    row groups without them are never read. `wanted` is broadcast when it is that short or
+    measured to be small enough, so that the large table does not move, else joined by
+    shuffle. `wanted` is evaluated more than once, so it should be cheap or already written.
     """
-    ids = wanted.select(on).filter(F.col(on).isNotNull()).distinct()
-    head = [row[0] for row in ids.limit(max_pushed + 1).collect()]
-    if len(head) <= max_pushed:
-        table = table.filter(F.col(on).isin(head) if head else F.lit(False))
-    if fits_broadcast(wanted):
+    head = [row[0] for row in wanted.select(on).limit(max_pushed + 1).collect()]
+    short = len(head) <= max_pushed
+    if short:
+        ids = sorted({i for i in head if i is not None})
+        table = table.filter(F.col(on).isin(ids) if ids else F.lit(False))
+    if short or fits_broadcast(wanted):
         wanted = F.broadcast(wanted)
     return wanted.join(table, on)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,13 +39,15 @@ def shared_folder(spark: SparkSession) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
         folder = tempfile.mkdtemp(prefix="affinitext-")
         context.setCheckpointDir(folder)
-    return folder
+    return folder.rstrip("/")
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the reliable checkpoint folder and go on from there."""
-    context = df.sparkSession.sparkContext
-    folder = shared_folder(df.sparkSession)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
-    return df.checkpoint()
+    """Write `df` once to the shared folder and go on from the written table.
+
+    Unlike a checkpoint it is evaluated once, and readers can prune its columns and know
+    its size. The files stay until the folder is cleaned up, like checkpoint files.
+    """
+    path = f"{shared_folder(df.sparkSession)}/affinitext-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
