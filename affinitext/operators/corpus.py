@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from affinitext.functions import dates, text
+from affinitext.operators.lookup import rows_by_id
 from affinitext.session import cut_lineage
 
 # --- fixed values ----------------------------------------------------------------------
@@ -88,9 +89,12 @@ def get_documents(
 ) -> DataFrame:
     """The documents of a table of ids: one row per wanted id, NULLs where there is none.
 
-    With `required`, an unknown id stops the job when the rows are read.
+    With `required`, an unknown id stops the job when the rows are read. The documents
+    are fetched like search hits, without moving the whole table for a few ids.
     """
-    found = wanted.select(id_col).join(df.withColumn("_found", F.lit(True)), id_col, "left")
+    wanted = wanted.select(id_col)
+    documents = rows_by_id(df.withColumn("_found", F.lit(True)), wanted.distinct(), id_col)
+    found = wanted.join(documents, id_col, "left")
     if required:
         missing = F.concat(F.lit("no document has the id "), F.col(id_col).cast("string"))
         checked = F.when(F.col("_found"), F.col(id_col)).otherwise(

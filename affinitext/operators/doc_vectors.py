@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from affinitext.functions.vectors import concat_vectors, unit
-from affinitext.operators.lookup import fits_broadcast, lookup_join
+from affinitext.operators.lookup import BROADCAST_BYTES, fits_broadcast, lookup_join
 
 MIN_COUNT = 2
 
@@ -65,15 +63,33 @@ def lookup_tokens(
     )
 
 
-def _lookup_summands(
-    tokens: DataFrame, words: DataFrame, id_col: str, tokens_col: str, broadcast: bool
+def measure_vectors(words: DataFrame) -> tuple[int, int]:
+    """Dimensions and bytes of a table of word vectors, in one pass."""
+    row = words.agg(
+        F.max(F.size("vector")).alias("dims"),
+        F.sum(F.octet_length("word") + F.size("vector") * 8 + 48).alias("bytes"),
+    ).first()
+    return row["dims"] or 0, row["bytes"] or 0
+
+
+def aggregate_vectors(
+    rows: DataFrame, key: str, dims: int, weight: str | None = None, pooled: bool = False
 ) -> DataFrame:
-    """`lookup_tokens` for summing up: vectors are converted per word, not per occurrence."""
-    converted = words.filter(F.col("vector").isNotNull()).select(
-        "word", array_to_vector("vector").alias("vector")
-    )
-    found = lookup_tokens(tokens, converted, None, id_col, tokens_col, broadcast)
-    return found.withColumn("tf", F.col("tf").cast("double"))
+    """(key, vector): the mean vector of each group, followed by its maxima if `pooled`.
+
+    One plain aggregate per component: they run in generated code with fixed-width
+    buffers and are combined within each partition before the shuffle.
+    """
+    value = "get(vector, {})"
+    weighted = f"{value} * {weight}" if weight else value
+    total = f"sum({weight})" if weight else "count(1)"
+    sums = [F.expr(f"sum({weighted.format(i)})").alias(f"s{i}") for i in range(dims)]
+    tops = [F.expr(f"max({value.format(i)})").alias(f"m{i}") for i in range(dims)] if pooled else []
+    grouped = rows.groupBy(key).agg(F.expr(total).alias("_n"), *sums, *tops)
+    mean: Column = F.array(*[F.expr(f"s{i} / _n") for i in range(dims)])
+    if pooled:
+        mean = concat_vectors(mean, F.array(*[F.col(f"m{i}") for i in range(dims)]))
+    return grouped.select(key, mean.cast("array<double>").alias("vector"))
 
 
 def mean_vectors(
@@ -89,17 +105,14 @@ def mean_vectors(
     document without a known word has no row here; joining vectors to a corpus turns that
     into NULL.
     """
+    dims, size = measure_vectors(words)
     if broadcast is None:
-        broadcast = fits_broadcast(words.select("word", "vector"))
+        broadcast = size <= BROADCAST_BYTES
     unit_words = words.select("word", unit("vector").alias("vector"))
-    known = _lookup_summands(tokens, unit_words, id_col, tokens_col, broadcast)
-    mean = Summarizer.mean(F.col("vector"), F.col("tf"))
-    return (
-        known.groupBy(id_col)
-        .agg(mean.alias("mean"))
-        .select(id_col, vector_to_array("mean").alias("mean"))
-        .select(id_col, unit("mean").alias("vector"))
-        .filter(F.col("vector").isNotNull())
+    known = lookup_tokens(tokens, unit_words, None, id_col, tokens_col, broadcast)
+    means = aggregate_vectors(known, id_col, dims, "tf")
+    return means.select(id_col, unit("vector").alias("vector")).filter(
+        F.col("vector").isNotNull()
     )
 
 
@@ -113,20 +126,11 @@ def pooled_vectors(
 ) -> DataFrame:
     """Mean and maximum of the raw word vectors, one after the other, per document."""
     words = with_fallback(words, oov)
+    dims, size = measure_vectors(words)
     if broadcast is None:
-        broadcast = fits_broadcast(words)
-    known = _lookup_summands(tokens, words, id_col, tokens_col, broadcast)
-    pooled = Summarizer.metrics("mean", "max").summary(F.col("vector"), F.col("tf"))
-    return (
-        known.groupBy(id_col)
-        .agg(pooled.alias("pooled"))
-        .select(
-            id_col,
-            concat_vectors(
-                vector_to_array("pooled.mean"), vector_to_array("pooled.max")
-            ).alias("vector"),
-        )
-    )
+        broadcast = size <= BROADCAST_BYTES
+    known = lookup_tokens(tokens, words, None, id_col, tokens_col, broadcast)
+    return aggregate_vectors(known, id_col, dims, "tf", pooled=True)
 
 
 def attach_vectors(corpus: DataFrame, vectors: DataFrame, id_col: str = "id") -> DataFrame:
