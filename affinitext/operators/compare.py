@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 
 def stack_results(results: Mapping[str, DataFrame]) -> DataFrame:
@@ -45,5 +44,4 @@ def tally(df: DataFrame, label: str) -> DataFrame:
     named = F.coalesce(F.col(label).cast("string"), F.lit("(empty)")).alias(label)
     counted = df.groupBy(named).agg(F.count(F.lit(1)).alias("n"))
     totals = counted.rollup(label).agg(F.sum("n").alias("n"))
-    total = F.max("n").over(Window.partitionBy())
-    return totals.withColumn("share", F.col("n") / total)
+    return totals.withColumn("share", F.col("n") / counted.agg(F.sum("n")).scalar())

@@ -29,32 +29,28 @@ def top_n(scored: DataFrame, n: int, score: str = "score", id_col: str = "id") -
 
 def rank_per_query(
     scored: DataFrame,
-    k: int | None = None,
+    k: int,
     query: str = "query_id",
     score: str = "score",
     id_col: str = "id",
     salts: int = RANK_SALTS,
 ) -> DataFrame:
-    """Rank the rows of each query, rows without a score last; keep the `k` best if given.
+    """The `k` best rows of each query with their rank, rows without a score last.
 
-    With `k`, the rows of one query are first ranked in `salts` shares, so no task ever
-    sees more of a query than its share and then `salts * k` rows.
+    The rows of one query are first ranked in `salts` shares, so no task ever sees more of
+    a query than its share and then `salts * k` rows.
     """
     order = _best_first(score, id_col)
-    if k is not None:
-        share = F.pmod(F.xxhash64(id_col), F.lit(salts))
-        scored = (
-            scored.withColumn("_share", share)
-            .withColumn(
-                "_rank", F.row_number().over(Window.partitionBy(query, "_share").orderBy(*order))
-            )
-            .filter(F.col("_rank") <= k)
-            .drop("_share", "_rank")
-        )
-    ranked = scored.withColumn(
-        "rank", F.row_number().over(Window.partitionBy(query).orderBy(*order))
+    share = F.pmod(F.xxhash64(id_col), F.lit(salts))
+    in_share = Window.partitionBy(query, "_share").orderBy(*order)
+    best = (
+        scored.withColumn("_share", share)
+        .withColumn("_rank", F.row_number().over(in_share))
+        .filter(F.col("_rank") <= k)
+        .drop("_share", "_rank")
     )
-    return ranked if k is None else ranked.filter(F.col("rank") <= k)
+    whole = Window.partitionBy(query).orderBy(*order)
+    return best.withColumn("rank", F.row_number().over(whole)).filter(F.col("rank") <= k)
 
 
 def clamp_n(n: Column, rows: Column) -> Column:

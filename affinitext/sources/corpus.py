@@ -47,7 +47,9 @@ def spread_out(df: DataFrame) -> DataFrame:
     core. Input of at least as many files as there are cores is left as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    # The JVM's array has a length; `df.inputFiles()` would fetch every name of a large table.
+    files = len(df._jdf.inputFiles())
+    return df.repartition(cores) if files < cores else df
 
 
 def write_corpus(
