@@ -44,7 +44,9 @@ PARTY_TEXT = "Open Vld|N-VA"
 PARTY_NAME = "Open VLD"
 # ---------------------------------------------------------------------------------------
 
-_WORD = r"[\p{L}\p{N}_]"
+# A letter, digit or underscore. The letter beyond the basic plane is one of \p{L} anyway:
+# naming it makes Java look behind by characters and not by halves of them.
+_WORD = r"[\p{L}\p{N}_𝐀]"
 
 TOKEN_PATTERN = (
     r"[Aa]ujourd['’]hui"

@@ -42,6 +42,8 @@ def one(spark, value, kind, expression):
         ("(m.)", "(monsieur)"),
         ("am.m.", "am.monsieur"),
         ("mme", "mme"),
+        ("𝐀m.", "𝐀m."),
+        ("🙂m.", "🙂monsieur"),
     ],
 )
 def test_honorifics(spark, text, expected):
@@ -62,6 +64,9 @@ def test_honorifics(spark, text, expected):
         ("10m2", "10m2"),
         ("m2 m2", "m² m²"),
         ("ékilomètres", "ékilomètres"),
+        ("𝐀m2", "𝐀m2"),
+        ("m2𝐀", "m2𝐀"),
+        ("🙂m2🙂", "🙂m²🙂"),
         ("", ""),
     ],
 )
