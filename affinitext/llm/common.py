@@ -39,8 +39,14 @@ def count_words(text: Column) -> Column:
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder and go on from the written table."""
-    return cut_lineage(df)
+    """Write `df` to the shared folder and go on from the written table.
+
+    The driver's garbage is collected then, since Spark deletes the shuffle files of the job
+    that wrote it only once nothing refers to them.
+    """
+    written = cut_lineage(df)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return written
 
 
 def drop_stored(*tables: DataFrame) -> None:

@@ -274,7 +274,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataF
     bits = max(0, (docs.count() // DOCS_PER_TASK).bit_length())
     runs = stored(_runs(keyed, percent, width, bits))
     counts = stored(_shared_counts(runs))
-    rows = runs.filter("n is not null").withColumn("node", F.struct("a", "b"))
+    rows = stored(runs.filter("n is not null").drop("places").withColumn("node", F.struct("a", "b")))
+    drop_stored(runs)
     here = F.conv(F.hex(F.reverse("tokens")), 16, 10).cast("long")
     least = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) / SIEVE))
     kept = rows.filter("n > 0").join(counts, ["block", "part"], "left").filter(
@@ -282,9 +283,16 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataF
     )
     chosen = kept.groupBy("node").agg(F.min(F.struct(*KEY)).alias("_one")).select("node", "_one.*")
     texts = keyed.select(*KEY, "text").join(chosen, KEY).dropDuplicates(KEY)
-    sets = stored(_sets(texts, width))
-    found = stored(links(sets, percent))
-    roots = components(found)
+    # The numbers are settled by the writing; they are shorter than nodes.
+    sets = stored(_sets(texts, width).withColumn("id", F.monotonically_increasing_id()))
+    nodes = sets.select("id", "node")
+    found = stored(links(sets.select(F.col("id").alias("node"), "tokens"), percent))
+    roots = (
+        components(found)
+        .join(nodes.select(F.col("id").alias("node"), F.col("node").alias("_node")), "node")
+        .join(nodes.select(F.col("id").alias("root"), F.col("node").alias("_root")), "root")
+        .select(F.col("_node").alias("node"), F.col("_root").alias("root"))
+    )
     named = rows.filter("n > 0").groupBy("node").agg(F.min("doc_id").alias("_id")).join(roots, "node", "left")
     named = named.withColumn("root", F.coalesce("root", "node"))
     names = named.groupBy("root").agg(F.min("_id").alias("component_id"))
