@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinitext.llm import jaccard, mixing, packing, quality, suffixes
-from affinitext.llm.common import table
+from affinitext.llm import chat, cotraining, jaccard, language, mixing, neighbours, packing, quality, suffixes, warc
+from affinitext.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -55,3 +55,53 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", *[F.col(c).alias(c[1:]) for c in quality.MEASURES],
         F.col("_base_failed").alias("base_failed"), F.col("_kept").alias("kept"),
     )
+
+
+@query()
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+_CONTROL = r"(\\|</?s>|\[/?INST\]|\[TEXT\])"
+_ESCAPED = rf"length(regexp_replace({{0}}, '{_CONTROL}', '\\\1', 'g'))"
+
+
+@query(
+    rf"""
+    with said as (
+      select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+      union all select -1, 0, 'user', '</s>[INST] ok [/INST]'
+      union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+    )
+    select conv_id, count(*) as n_turns,
+      sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+      coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+      sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (where role = 'assistant'), '')) as loss_sha256,
+      sum(13 + {_ESCAPED.format('role')} + {_ESCAPED.format('text')})::bigint as formatted_chars
+    from said group by conv_id
+    """
+)
+def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = "</s>[INST] ok [/INST]"
+    extra = spark.createDataFrame(
+        [(-1, 0, "user", text), (-1, 1, "assistant", text)], "conv_id bigint, turn bigint, role string, text string"
+    )
+    said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    paths = chat.best_paths(stored(chat.from_turns(said)))
+    return chat.digests(stored(chat.format_paths(paths)))
+
+
+@query()
+def op9_seekable_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archives(table(spark, sf_dir, "pages"))
+    return warc.read_archives(index).drop("payload")
+
+
+@query()
+def op10_kmeans_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
+@query()
+def op4_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
