@@ -11,7 +11,7 @@ start. Equal windows have equal anchors, so suffixes at anchors stand for all wi
    with the last suffix put out, and bytes only beyond that. Neighbours in that order tell
    how much of a suffix occurs elsewhere: an anchor with all `length` bytes is repeated.
 4. Between anchors that are repeated everything is covered. Where coverage begins or ends,
-   the exact window is found by counting the fingerprints of the windows of those anchors.
+   the exact window is found by comparing the fingerprints of the windows of those anchors.
 """
 
 from __future__ import annotations
@@ -28,13 +28,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinitext.llm.common import KEY, drop_stored, stored, text_of, with_key
-from affinitext.llm.hashing import Prints, chunks
+from affinitext.llm.hashing import Prints, chunks, mixed
 
 LENGTH = 400
 #: Bytes whose smallest fingerprint is a window's anchor, as a share of the window.
 REACH = 0.64
 GRAM = 16
 RUN_SUFFIXES = 50_000
+#: Text slices whose windows one group compares; anchors with more than HOT_SLICES slices have
+#: their windows counted by a distributed aggregate instead.
+BUCKET_SLICES = 4_000
+HOT_SLICES = 4_000
 #: Suffixes per range, and the bounded sample that the ranges' bounds are taken from.
 RANGE_SUFFIXES = 50_000
 SAMPLED_TEXTS = 4_000
@@ -377,6 +381,43 @@ def _windows(slices: DataFrame, length: int, back: bool) -> DataFrame:
     return chosen.mapInArrow(run, "core bigint, print bigint, n bigint, asked boolean")
 
 
+def _ends(slices: DataFrame, buckets: int, length: int) -> DataFrame:
+    """First window and end of the last one that occur again, per open anchor. All slices of
+    an anchor's core are in one bucket, so nothing needs to leave it."""
+
+    def run(key: tuple, group: pa.Table) -> pa.Table:
+        names = [*KEY, "core", "lo", "open"]
+        k1, k2, core, lo, asked = (group.column(c).to_numpy() for c in names)
+        prints, owners, places = [], [], []
+        for row, data, offsets in chunks(group.column("bytes").combine_chunks()):
+            counts = np.diff(offsets) - length + 1
+            own = np.repeat(np.arange(len(counts)), counts)
+            step = np.arange(len(own)) - np.repeat(np.cumsum(counts) - counts, counts)
+            window = Prints(data, 1).all_of(length)[offsets[own] + step]
+            prints.append(mixed(window ^ core[own + row].view(np.uint64)))
+            owners.append((own + row).astype(np.int32))
+            places.append(step.astype(np.int32))
+        prints, own, place = (np.concatenate(x) for x in (prints, owners, places))
+        order = np.argsort(prints)
+        equal = np.diff(prints[order]) == 0
+        again = np.zeros(len(prints), bool)
+        again[order[1:][equal]] = True
+        again[order[:-1][equal]] = True
+        at = np.flatnonzero(again & asked[own])
+        first = at[np.append(True, own[at][1:] != own[at][:-1])] if len(at) else at
+        last = at[np.append(own[at][1:] != own[at][:-1], True)] if len(at) else at
+        row = own[first]
+        return pa.table({
+            "_k1": pa.array(k1[row]), "_k2": pa.array(k2[row]),
+            "start": pa.array((lo[row] + place[first]).astype(np.int32)),
+            "stop": pa.array((lo[row] + place[last] + length).astype(np.int32)),
+        })
+
+    return slices.withColumn("bucket", F.pmod(F.hash("core"), F.lit(buckets))).groupBy("bucket").applyInArrow(
+        run, "_k1 bigint, _k2 bigint, start int, stop int"
+    )
+
+
 def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, DataFrame]:
     """Texts that may repeat something (key, text), and per key the byte ranges that do.
 
@@ -420,29 +461,35 @@ def repeated_ranges(docs: DataFrame, length: int = LENGTH) -> tuple[DataFrame, D
     doubts = found.select(
         *KEY, F.explode(F.arrays_zip("at", "lo", "hi", "core", "open")).alias("x")
     ).select(*KEY, "x.*")
-    asked = doubts.filter("open").select("core").distinct()
-    asked = doubts.join(asked, "core").groupBy(*KEY).agg(
-        F.collect_set(F.struct("at", "lo", "hi", "core", "open")).alias("x")
-    )
-    data = F.encode("text", "UTF-8")
-    slices = texts.select(*KEY, "text").join(asked, KEY).select(
-        *KEY, data.alias("_data"), F.explode("x").alias("x")
+    asked = stored(doubts.groupBy("core").agg(
+        F.max("open").alias("_asked"), (F.count("*") > HOT_SLICES).alias("hot")
+    ).filter("_asked").select("core", "hot"))
+    wanted = stored(doubts.join(asked, "core").groupBy(*KEY).agg(
+        F.collect_set(F.struct("at", "lo", "hi", "core", "open", "hot")).alias("x"), F.count("*").alias("_n")
+    ))
+    slices = texts.select(*KEY, "text").join(wanted, KEY).select(
+        *KEY, F.encode("text", "UTF-8").alias("_data"), F.explode("x").alias("x")
     ).select(
         *KEY, "x.*", F.expr(f"substring(_data, x.lo + 1, x.hi - x.lo + {length})").alias("bytes")
     )
-    slices = stored(slices)
-    again = _windows(slices, length, back=False).groupBy("core", "print").agg(
-        F.sum("n").alias("_n"), F.max("asked").alias("_asked")
-    ).filter("_n > 1 and _asked").select("core", "print")
-    ends = _windows(slices, length, back=True).join(again, ["core", "print"]).groupBy(*KEY, "at").agg(
-        F.min("window").alias("start"), (F.max("window") + length).alias("stop")
-    )
+    buckets = 1 + (wanted.agg(F.sum("_n")).first()[0] or 0) // BUCKET_SLICES
+    ends = _ends(slices.filter("not hot"), buckets, length)
+    if asked.filter("hot").limit(1).count():
+        hot = stored(slices.filter("hot"))
+        again = _windows(hot, length, back=False).groupBy("core", "print").agg(
+            F.sum("n").alias("_n"), F.max("asked").alias("_asked")
+        ).filter("_n > 1 and _asked").select("core", "print")
+        ends = ends.unionByName(
+            _windows(hot, length, back=True).join(again, ["core", "print"]).groupBy(*KEY, "at").agg(
+                F.min("window").alias("start"), (F.max("window") + length).alias("stop")
+            ).select(*KEY, "start", "stop")
+        )
     whole = found.select(*KEY, F.explode(F.arrays_zip("start", "stop")).alias("x")).select(*KEY, "x.*")
     ranges = stored(
         whole.unionByName(ends.select(*KEY, "start", "stop")).groupBy(*KEY)
         .agg(F.collect_set(F.struct("start", "stop")).alias("ranges"))
     )
-    drop_stored(slices, found)
+    drop_stored(found, asked, wanted)
     return texts.select(*KEY, "text"), ranges
 
 
