@@ -39,6 +39,10 @@ STOP_LEMMAS = [
     "<", "=", ">", "?", "@", "[", "\\", "]", "^", "_", "`", "{", "|", "}", "~",
 ]
 LEMMA_PUNCTUATION = "!\"&'()*+,./:;<=>?@[]^_`{|}~"
+UNICODE_SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+    "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 STRIP_CHARS = "-,+\\/%()^*[]\"'~;:!?."
 PARTY_TEXT = "Open Vld|N-VA"
 PARTY_NAME = "Open VLD"
@@ -105,8 +109,8 @@ def is_number(token: Column) -> Column:
 
 
 def split_lemma(lemma: Column) -> Column:
-    """Punctuation inside a lemma becomes a separator; empty parts are dropped."""
-    gaps = LEMMA_PUNCTUATION + "\t\n\r "
+    """Punctuation and Unicode spaces inside a lemma separate parts; empty ones are dropped."""
+    gaps = LEMMA_PUNCTUATION + UNICODE_SPACES
     spaced = F.translate(lemma, gaps, " " * len(gaps))
     return F.filter(F.split(spaced, " "), lambda part: part != "")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -166,3 +166,18 @@ def select_columns(df: DataFrame, columns: Iterable[str] | Mapping[str, str]) ->
     if isinstance(columns, Mapping):
         return df.select([F.col(old).alias(new) for old, new in columns.items()])
     return df.select(*columns)
+
+
+def one_per_id(corpus: DataFrame, id_col: str = "id") -> tuple[DataFrame, DataFrame]:
+    """Rows with one row per id, and the rows left out for another of their id.
+
+    Of several rows the first by all other columns is taken, so the choice does not depend on
+    the layout.
+    """
+    others = [F.to_json(F.struct(*[c for c in corpus.columns if c != id_col]))]
+    place = F.row_number().over(Window.partitionBy(id_col).orderBy(*others))
+    numbered = corpus.withColumn("_place", place)
+    return (
+        numbered.filter(F.col("_place") == 1).drop("_place"),
+        numbered.filter(F.col("_place") > 1).drop("_place"),
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from affinitext.functions.vectors import concat_vectors, unit
@@ -44,17 +44,24 @@ def lookup_tokens(
     tokens_col: str = "preprocessed_text",
     broadcast: bool | None = None,
 ) -> DataFrame:
-    """(id, word, tf, vector) for every known token of every document.
+    """(id, word, tf, vector), one row per known word of a document and how often it occurs.
 
-    Unknown words are left out, unless `oov` has a vector for them. With a vocabulary
-    small enough to broadcast, occurrences are looked up where they are (tf is 1); with a
-    larger one, repeats are counted first and the counted pairs joined by salted shuffle.
+    Unknown words are left out, unless `oov` has a vector for them. The rows are the same
+    whether the vocabulary is small enough to broadcast or joined by salted shuffle.
     """
     words = with_fallback(words, oov)
     if broadcast is None:
         broadcast = fits_broadcast(words)
+    return _known_words(tokens, words, id_col, tokens_col, broadcast, counted=True)
+
+
+def _known_words(
+    tokens: DataFrame, words: DataFrame, id_col: str, tokens_col: str, broadcast: bool, counted: bool
+) -> DataFrame:
+    """As `lookup_tokens`; if not `counted`, a sum over the rows may see a word's occurrences
+    one by one (tf is 1), which spares a shuffle where the words are broadcast."""
     occurrences = tokens.select(id_col, F.explode(tokens_col).alias("word"))
-    if broadcast:
+    if broadcast and not counted:
         counted = occurrences.withColumn("tf", F.lit(1).cast("bigint"))
     else:
         counted = occurrences.groupBy(id_col, "word").agg(F.count(F.lit(1)).alias("tf"))
@@ -77,8 +84,9 @@ def aggregate_vectors(
 ) -> DataFrame:
     """(key, vector): the mean vector of each group, followed by its maxima if `pooled`.
 
-    One plain aggregate per component: they run in generated code with fixed-width
-    buffers and are combined within each partition before the shuffle.
+    One plain aggregate per component, with fixed-width buffers, combined within each
+    partition before the shuffle. They run in generated code up to the session's
+    `spark.sql.codegen.maxFields` components, interpreted beyond.
     """
     value = "get(vector, {})"
     weighted = f"{value} * {weight}" if weight else value
@@ -109,7 +117,9 @@ def mean_vectors(
     if broadcast is None:
         broadcast = size <= BROADCAST_BYTES
     unit_words = words.select("word", unit("vector").alias("vector"))
-    known = lookup_tokens(tokens, unit_words, None, id_col, tokens_col, broadcast)
+    known = _known_words(
+        tokens, with_fallback(unit_words), id_col, tokens_col, broadcast, counted=False
+    )
     means = aggregate_vectors(known, id_col, dims, "tf")
     return means.select(id_col, unit("vector").alias("vector")).filter(
         F.col("vector").isNotNull()
@@ -129,7 +139,7 @@ def pooled_vectors(
     dims, size = measure_vectors(words)
     if broadcast is None:
         broadcast = size <= BROADCAST_BYTES
-    known = lookup_tokens(tokens, words, None, id_col, tokens_col, broadcast)
+    known = _known_words(tokens, words, id_col, tokens_col, broadcast, counted=False)
     return aggregate_vectors(known, id_col, dims, "tf", pooled=True)
 
 
@@ -145,10 +155,17 @@ def attach_vectors(corpus: DataFrame, vectors: DataFrame, id_col: str = "id") ->
 def build_index(corpus: DataFrame, vectors: DataFrame, id_col: str = "id") -> DataFrame:
     """What a search scans: id, date and vector, without the texts.
 
-    Built once and stored, it spares every search the join of corpus and vectors.
+    Built once and stored, it spares every search the join of corpus and vectors. An id
+    names one document: repeated ids stop the job, here and in a query by id. Choose rows
+    by `operators.corpus.one_per_id`, which also reports the others.
     """
     dated = corpus.select([c for c in (id_col, "pub_date", "year") if c in corpus.columns])
-    return attach_vectors(dated, vectors, id_col)
+    index = attach_vectors(dated, vectors, id_col)
+    message = F.concat(F.lit("several rows have the id "), F.col(id_col).cast("string"))
+    rows = F.count(F.lit(1)).over(Window.partitionBy(id_col))
+    return index.withColumn("_rows", rows).withColumn(
+        id_col, F.when(F.col("_rows") == 1, F.col(id_col)).otherwise(F.raise_error(message))
+    ).drop("_rows")
 
 
 def space_profile(words: DataFrame, docs: DataFrame | None = None) -> DataFrame:

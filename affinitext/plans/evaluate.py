@@ -24,7 +24,8 @@ def rank_by_model(
     """Per model, the `n` best documents of every evaluation document.
 
     A model is a pair of (id, vector) tables: evaluation documents and corpus. Nothing is
-    left out as the query itself; `is_self` tells where it was found.
+    left out as the query itself; `is_self` tells where it was found. An evaluation document
+    without a vector in a model has one row there, of rank 1 and without a hit.
     """
     ranked = {}
     for name, (query_vectors, corpus_vectors) in models.items():
@@ -35,13 +36,14 @@ def rank_by_model(
         hits = batch_search(
             queries, corpus_vectors, corpus.select("id", "text_cleaned"), "none", clamp=False
         )
+        hits = eval_set.select(F.col("id").alias("query_id")).distinct().join(hits, "query_id", "left")
         ranked[name] = hits.select(
             F.col("query_id").alias("id"),
-            "rank",
+            F.coalesce("rank", F.lit(1)).alias("rank"),
             F.col("id").alias("hit_id"),
             "cosine_sim_score",
             display_text(F.col("text_cleaned"), F.col("cosine_sim_score")).alias("shown"),
-            (F.col("text_cleaned") == F.col("query")).alias("is_self"),
+            F.coalesce(F.col("text_cleaned") == F.col("query"), F.lit(False)).alias("is_self"),
         )
     return ranked
 

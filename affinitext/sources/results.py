@@ -16,7 +16,7 @@ def write_results(
     per_query: str | None = "query_id",
     mode: str = "error",
 ) -> None:
-    """CSV with a header, one folder of files per query.
+    """CSV with a header, one folder per query, as a rule with one file.
 
     `columns` fixes the column order; arrays are joined with spaces, as CSV has none.
     """
@@ -24,6 +24,9 @@ def write_results(
     if per_query and per_query not in names:
         names.append(per_query)
     flat = df.select([_csv_value(df, name) for name in names])
+    if per_query:
+        # One file per query; a result too large for a task is split over several.
+        flat = flat.hint("rebalance", per_query)
     writer = (
         flat.write.mode(mode)
         .option("header", True)

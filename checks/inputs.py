@@ -102,6 +102,7 @@ PHRASES = [
     " 1.000 fois 50 pourcents, 20 euros ou dollars, 5% n’est",
     " porte-parole d'aujourd'hui -- a- l’homme n'y (x²)",
     " 4 centimètres carrés, 7 centimères carrés 8 mètres cubes",
+    " 20\u00a0km et 1\u202f000 pas, page\x0csuivante",
 ]
 
 

@@ -325,7 +325,11 @@ placed AS (
   FROM scored),
 best AS (
   SELECT model, placed.id, rank, hit, score, d.text_cleaned AS hit_text, q.text_cleaned AS query_doc
-  FROM placed JOIN docs d ON d.id = hit JOIN docs q ON q.id = placed.id WHERE rank <= 3)"""
+  FROM placed JOIN docs d ON d.id = hit JOIN docs q ON q.id = placed.id WHERE rank <= 3
+  UNION ALL
+  SELECT model, id, 1, NULL, NULL, NULL, text_cleaned
+  FROM picked JOIN docs USING (id), (SELECT DISTINCT model FROM vecs)
+  WHERE (model, id) NOT IN (SELECT (model, id) FROM vecs))"""
 
 
 @case(with_ctes(EVALUATED, f"""
@@ -344,7 +348,7 @@ def e3_evaluate(spark, sf_dir):
 
 @case(with_ctes(EVALUATED, """
 SELECT model, count(*) AS n_queries,
-       round(avg((hit_text = query_doc)::INT), 6) AS self_hit_rate
+       round(avg(coalesce((hit_text = query_doc)::INT, 0)), 6) AS self_hit_rate
 FROM best WHERE rank = 1 GROUP BY model"""))
 def e3_self_hits(spark, sf_dir):
     rates = self_hits(rank_by_model(*eval_inputs(spark, sf_dir)))

@@ -51,6 +51,7 @@ DIGITS = quoted(t.DIGITS_PATTERN)
 PATTERN = quoted(t.TOKEN_PATTERN)
 GAPS = quoted(t.LEMMA_PUNCTUATION)
 BLANKS = quoted(" " * len(t.LEMMA_PUNCTUATION))
+ANY_SPACE = r"'[\p{Z}\x{09}-\x{0D}\x{1C}-\x{1F}\x{85}]'"
 
 
 def tokens_of(column: str) -> str:
@@ -97,8 +98,8 @@ def f4_is_number(spark, sf_dir):
 
 
 @case(with_ctes(PHRASE_DOCS, f"""
-SELECT id, array_to_string(list_filter(string_split(translate(translate(text_cleaned,
-       {GAPS}, {BLANKS}), chr(9) || chr(10) || chr(13), '   '), ' '), lambda p: p <> ''), '|') AS parts
+SELECT id, array_to_string(list_filter(string_split(regexp_replace(translate(text_cleaned,
+       {GAPS}, {BLANKS}), {ANY_SPACE}, ' ', 'g'), ' '), lambda p: p <> ''), '|') AS parts
 FROM phrase_docs"""))
 def f5_split_lemma(spark, sf_dir):
     parts = t.split_lemma(F.col("text_cleaned"))
@@ -291,7 +292,7 @@ parts AS (
            WHEN lemma IN ('dollar', 'dollars') THEN ['$']
            WHEN lemma IN ('euro', 'euros') THEN ['€']
            WHEN form IN ('n’', 'n''') THEN ['ne']
-           ELSE string_split(translate(lemma, {GAPS}, {BLANKS}), ' ') END,
+           ELSE string_split(regexp_replace(translate(lemma, {GAPS}, {BLANKS}), {ANY_SPACE}, ' ', 'g'), ' ') END,
       lambda x: length(x) > 1), lambda x: trim(lower(x), {STRIP})), lambda x: x <> '') END AS ws
   FROM kept),
 singles AS (SELECT id, p, unnest(ws) AS w, generate_subscripts(ws, 1) AS s FROM parts),

@@ -58,14 +58,19 @@ def a5_space_profile(spark, sf_dir):
 
 
 LOOKED_UP = with_ctes(WORDS, """
-SELECT id, word, count(*) AS tf, round(any_value(v[1]), 6) + 0.0 AS first
-FROM toks JOIN word_vecs USING (word) GROUP BY id, word""")
+SELECT id, word, tf, unnest(range(len(v))) AS i, round(unnest(v), 6) + 0.0 AS x
+FROM (SELECT id, word, count(*) AS tf FROM toks GROUP BY id, word) JOIN word_vecs USING (word)""")
+
+
+def each_component(found):
+    x = F.posexplode("vector").alias("i", "x")
+    return found.select("id", "word", "tf", x).select(
+        "id", "word", "tf", F.col("i").cast("bigint").alias("i"), rounded("x").alias("x"))
 
 
 def looked_up(spark, sf_dir, broadcast):
     found = lookup_tokens(tokens(spark, sf_dir), words(spark, sf_dir), broadcast=broadcast)
-    return found.groupBy("id", "word").agg(
-        F.sum("tf").alias("tf"), rounded(F.first(F.get("vector", 0))).alias("first"))
+    return each_component(found)
 
 
 @case(LOOKED_UP)
@@ -120,13 +125,12 @@ either AS (SELECT word, i, x FROM comps UNION ALL SELECT word, i, x FROM oov)"""
 
 
 @case(with_ctes(ALL_WORDS, """
-SELECT id, word, count(*) AS tf, round(any_value(x), 6) + 0.0 AS first
-FROM toks JOIN either USING (word) WHERE i = 0 GROUP BY id, word"""))
+SELECT id, word, count(*) AS tf, i, round(x, 6) + 0.0 AS x
+FROM toks JOIN either USING (word) GROUP BY id, word, i, x"""))
 def j3_lookup_tokens_with_fallback(spark, sf_dir):
     found = lookup_tokens(
         tokens(spark, sf_dir), words(spark, sf_dir), fallback(spark, sf_dir))
-    return found.groupBy("id", "word").agg(
-        F.sum("tf").alias("tf"), rounded(F.first(F.get("vector", 0))).alias("first"))
+    return each_component(found)
 
 
 @case(with_ctes(ALL_WORDS, f"""
