@@ -27,6 +27,8 @@ ROUNDS = 4
 #: Unlabelled documents that a view labels per round and class, of those beyond SURE.
 PSEUDO = 50
 SURE = 0.95
+#: Least share of right answers, among at least so many rows kept aside, for a view to teach.
+RIGHT, TRIED = 0.9, 5
 BUCKETS = 1 << 14
 #: Words and runs of other signs.
 WORD = re.compile(r"\w+|[^\w\s]+")
@@ -120,16 +122,28 @@ def cotrain(text: Rows, meta: Rows, label: np.ndarray, rounds: int = ROUNDS) ->
             sure = chance(view.dot(weights[me]))
             free = (label < 0) & (own[other] < 0)
             for value, surety in ((1, sure), (0, 1 - sure)):
+                # A view teaches a class only where it is right about the rows kept aside.
+                tried = label[aside & (surety >= SURE)] == value
+                if len(tried) < TRIED or tried.mean() < RIGHT:
+                    continue
+                most = min(PSEUDO, int((label == value).sum()))
                 at = np.flatnonzero(free & (surety >= SURE))
-                own[other][at[np.argsort(-surety[at], kind="stable")[:PSEUDO]]] = value
+                own[other][at[np.argsort(-surety[at], kind="stable")[:most]]] = value
     x = np.stack([np.ones(len(label)), text.dot(weights[0]), meta.dot(weights[1])])[:, aside]
     y, blend = label[aside], np.array([0.0, 1.0, 0.0])
-    share = np.where(y == 1, len(y) / 2 / max((y == 1).sum(), 1), len(y) / 2 / max((y == 0).sum(), 1))
-    for _ in range(25):  # Newton steps, held near the text view alone
+    prior, hold = blend, np.array([0.01, 1.0, 1.0])
+
+    def loss(b: np.ndarray) -> float:
+        odds = np.where(y == 1, b @ x, -(b @ x))
+        return float(np.logaddexp(0, -odds).sum() + 0.5 * (hold * (b - prior) ** 2).sum())
+
+    for _ in range(30):  # Newton steps, halved until they help; held near the text view alone
         p = chance(blend @ x)
-        slope = x @ (share * (p - y)) + 0.1 * (blend - [0, 1, 0])
-        curve = (x * (share * p * (1 - p) + 1e-6)) @ x.T + 0.1 * np.eye(3)
-        blend = blend - np.clip(np.linalg.solve(curve, slope), -2, 2)
+        slope = x @ (p - y) + hold * (blend - prior)
+        step = np.linalg.solve((x * (p * (1 - p))) @ x.T + np.diag(hold), slope)
+        while loss(blend - step) > loss(blend) and np.abs(step).max() > 1e-6:
+            step = step / 2
+        blend = blend - step
     return Classifier(weights[0], weights[1], blend)
 
 
