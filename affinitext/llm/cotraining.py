@@ -29,7 +29,9 @@ PSEUDO = 50
 SURE = 0.95
 #: Least share of right answers, among at least so many rows kept aside, for a view to teach.
 RIGHT, TRIED = 0.9, 5
-BUCKETS = 1 << 14
+BUCKETS = 1 << 18
+#: A word counts where its shares of the two classes differ by so many standard errors.
+TELLING = 2.5
 #: Words and runs of other signs.
 WORD = re.compile(r"\w+|[^\w\s]+")
 
@@ -48,9 +50,7 @@ def text_features(text: str) -> tuple[np.ndarray, np.ndarray]:
         np.log1p(text.count("\n")) / 3, len(text) / n / 6, max(counts.values(), default=0) / n * 4,
     ]
     keys = np.array([*range(len(shape)), *counts], dtype=np.int64)
-    values = np.array([*shape, *(1 + np.log(c) for c in counts.values())])
-    values[len(shape):] /= np.sqrt(np.log(2 + len(counts)))
-    return keys, values
+    return keys, np.array([*shape, *(1 + np.log(c) for c in counts.values())])
 
 
 def hash_of(word: str) -> int:
@@ -86,16 +86,42 @@ def chance(odds: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(odds, -30, 30)))
 
 
-def logistic(rows: Rows, y: np.ndarray, use: np.ndarray, steps: int = 300, decay: float = 5e-5) -> np.ndarray:
-    """Weights by adaptive gradient steps over the rows in use, classes weighted evenly."""
-    weights, past = np.zeros(BUCKETS), np.full(BUCKETS, 1e-8)
-    share = np.where(y == 1, 0.5 / max((use & (y == 1)).sum(), 1), 0.5 / max((use & (y == 0)).sum(), 1)) * use
+def telling(rows: Rows, label: np.ndarray) -> np.ndarray:
+    """How much each feature says: 1 for those that are no words, for words the log ratio of
+    their shares of documents in the two classes, 0 where chance explains it.
+
+    A rare word that decides, one of many in a long text, would drown among the others else.
+    """
+    word = rows.keys >= 32
+    seen = [np.bincount(rows.keys[word & (label[rows.row] == v)], minlength=BUCKETS) + 0.5 for v in (1, 0)]
+    of = [(label == v).sum() + 1.0 for v in (1, 0)]
+    ratio = np.log(seen[0] / of[0]) - np.log(seen[1] / of[1])
+    error = np.sqrt(sum(1 / s - 1 / n for s, n in zip(seen, of, strict=True)).clip(1e-6))
+    says = np.where(np.abs(ratio) >= TELLING * error, np.abs(ratio), 0.0)
+    # Fewer than three documents tell nothing.
+    says[(seen[0] + seen[1]) < 4] = 0
+    says[:32] = 1.0
+    return says
+
+
+def logistic(
+    rows: Rows, label: np.ndarray, says: np.ndarray, steps: int = 300, decay: float = 1e-3
+) -> np.ndarray:
+    """Weights by adaptive gradient steps over the labelled rows, classes weighted evenly."""
+    held = (says[rows.keys] > 0) & (label[rows.row] >= 0)
+    kept, keys = np.unique(rows.keys[held], return_inverse=True)
+    row, values = rows.row[held], rows.values[held] * says[rows.keys[held]]
+    weights, past = np.zeros(len(kept)), np.full(len(kept), 1e-8)
+    share = sum(np.where(label == v, 0.5 / max((label == v).sum(), 1), 0.0) for v in (0, 1))
+    y = np.maximum(label, 0)
     for _ in range(steps):
-        error = (chance(rows.dot(weights)) - y) * share
-        slope = np.bincount(rows.keys, rows.values * error[rows.row], BUCKETS) + decay * weights
+        error = (chance(np.bincount(row, values * weights[keys], rows.n)) - y) * share
+        slope = np.bincount(keys, values * error[row], len(kept)) + decay * weights
         past += slope**2
         weights -= 0.3 * slope / np.sqrt(past)
-    return weights
+    out = np.zeros(BUCKETS)
+    out[kept] = weights * says[kept]
+    return out
 
 
 class Classifier(NamedTuple):
@@ -115,7 +141,8 @@ def cotrain(text: Rows, meta: Rows, label: np.ndarray, rounds: int = ROUNDS) ->
     aside[known[::4]] = True
     own = [np.where(aside, -1, label) for _ in (text, meta)]
     for i in range(rounds + 1):
-        weights = [logistic(v, np.maximum(y, 0), y >= 0) for v, y in zip((text, meta), own, strict=True)]
+        says = telling(text, own[0]), np.ones(BUCKETS)
+        weights = [logistic(*x) for x in zip((text, meta), own, says, strict=True)]
         if i == rounds:
             break
         for me, other, view in ((0, 1, text), (1, 0, meta)):
