@@ -48,25 +48,34 @@ class Lattice:
     """The pieces that occur at each place of a word."""
 
     def __init__(self, pieces: list[str]):
-        self.ids = {p: i for i, p in enumerate(pieces)}
-        self.begins = {p[:k] for p in pieces for k in range(1, len(p) + 1)}
+        #: By the next character; the piece that ends here is under "".
+        self.tree: dict = {}
+        for i, piece in enumerate(pieces):
+            node = self.tree
+            for c in piece:
+                node = node.setdefault(c, {})
+            node[""] = i
 
     def of(self, word: str) -> list[list[tuple[int, int]]]:
         """Per end j: (begin, piece) of the pieces that end there; piece -1 is unknown."""
-        n = len(word)
-        ends: list[list[tuple[int, int]]] = [[] for _ in range(n + 1)]
-        for i in range(n):
-            known = False
-            for j in range(i + 1, min(n, i + LONGEST) + 1):
-                part = word[i:j]
-                if part not in self.begins:
-                    break
-                piece = self.ids.get(part)
-                if piece is not None:
-                    ends[j].append((i, piece))
-                    known |= j == i + 1
-            if not known:
+        tree = self.tree
+        ends: list[list[tuple[int, int]]] = [[] for _ in range(len(word) + 1)]
+        for i, first in enumerate(word):
+            node = tree.get(first)
+            if node is None or "" not in node:
                 ends[i + 1].append((i, -1))
+                if node is None:
+                    continue
+            if "" in node:
+                ends[i + 1].append((i, node[""]))
+            j = i + 1
+            for c in word[j:]:
+                if c not in node:
+                    break
+                node = node[c]
+                j += 1
+                if "" in node:
+                    ends[j].append((i, node[""]))
         return ends
 
 
