@@ -251,12 +251,28 @@ def v7_cross_covariance(spark, sf_dir):
                         rounded("x").alias("x"))
 
 
-@case()
+@case(
+    f"""SELECT i::BIGINT AS i, j::BIGINT AS j,
+       CASE WHEN i + j = {DIMS - 1} THEN 1.0 - 2 * (j % 2) ELSE 0.0 END::DOUBLE AS x
+FROM range({DIMS}) a(i), range({DIMS}) b(j)"""
+)
 def v7_fit_rotation(spark, sf_dir):
-    return fit_rotation(words(spark, sf_dir), words(spark, sf_dir, "@"))
+    """The other space is the first with its components in reverse, every second one negated."""
+    a = words(spark, sf_dir)
+    turned = F.transform(F.reverse("vector"), lambda x, j: x * (F.lit(1.0) - 2 * (j % 2)))
+    found = fit_rotation(a, a.select("word", turned.alias("vector")))
+    return found.select(F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"),
+                        rounded("x").alias("x"))
 
 
-@case()
+@case(
+    with_ctes(
+        TOKENS,
+        "SELECT word, 100::BIGINT AS dims, true AS finite FROM toks GROUP BY word HAVING count(*) >= 2",
+    )
+)
 def a8_train_words(spark, sf_dir):
-    model = train_words(tokens(spark, sf_dir), dims=DIMS, epochs=1, seed=1)
-    return model_words(model)
+    """All dimensions and epochs; the numbers depend on partitioning, so words and shape count."""
+    model = model_words(train_words(tokens(spark, sf_dir), seed=1))
+    finite = F.forall("vector", lambda x: ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return model.select("word", F.size("vector").cast("bigint").alias("dims"), finite.alias("finite"))
