@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 256 * 2**20
 SALTS = 64
 PUSHED_IDS = 200
+#: Keys with more rows than this are salted, the heaviest HOT_KEYS of them at most: any
+#: other key has less than one HOT_KEYS-th of the rows.
+HOT_ROWS = 100_000
+HOT_KEYS = 1000
 
 
 def table_bytes(table: DataFrame) -> int:
@@ -44,24 +48,39 @@ def lookup_join(
     how: str = "inner",
     broadcast: bool | None = None,
     salts: int = SALTS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Equi-join of many `rows` with a lookup `table` that is unique on `on`.
 
     A table measured to be within the broadcast limit is broadcast, so `rows` do not move.
-    A larger one is joined by shuffle on the key and a salt taken from the `spread`
-    columns: one hot key is then shared out over `salts` tasks, at the price of as many
-    copies of the lookup table.
+    A larger one is joined by shuffle on the key. Keys with many rows are found by a count
+    first; they alone get a salt taken from the `spread` columns, so that a hot key is shared
+    out over `salts` tasks and only its row of the table is copied. Rows without a key are
+    salted too.
     """
     if broadcast is None:
         broadcast = fits_broadcast(table)
     if broadcast:
         return rows.join(F.broadcast(table), on, how)
     spread = [spread] if isinstance(spread, str) else list(spread)
-    salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    salted_table = table.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    hot = _hot_keys(rows, on, hot_rows).withColumn("_salts", F.lit(salts))
+    own = F.coalesce("_salts", F.when(F.col(on).isNull(), salts), F.lit(1))
+    salted_rows = rows.join(F.broadcast(hot), on, "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(*spread), own).cast("int")
     )
-    return salted_rows.join(salted_table, [on, "_salt"], how).drop("_salt")
+    salted_table = table.join(F.broadcast(hot), on, "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1))
+    )
+    joined = salted_rows.drop("_salts").join(salted_table.drop("_salts"), [on, "_salt"], how)
+    return joined.drop("_salt")
+
+
+def _hot_keys(rows: DataFrame, on: str, least: int) -> DataFrame:
+    """The keys with more than `least` rows, at most `HOT_KEYS`, settled once for both sides."""
+    counts = rows.filter(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
+    heaviest = counts.filter(F.col("_n") > least).orderBy(F.desc("_n"), on).limit(HOT_KEYS)
+    keys = [(row[on],) for row in heaviest.collect()]
+    return rows.sparkSession.createDataFrame(keys, counts.select(on).schema)
 
 
 def rows_by_id(
