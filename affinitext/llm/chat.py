@@ -61,33 +61,46 @@ def best_paths(messages: DataFrame) -> DataFrame:
     tree, with their `depth`.
 
     A path's score is the sum of its messages'; ties go to the longer path, then the smaller
-    leaf. Messages whose ancestors lead to no root (a missing parent, a cycle) are left out.
+    leaf. Messages whose ancestors lead to no root (a missing parent, a cycle) are left out, and
+    so are rows without tree or node. Of rows that share both, the first by parent, score, role
+    and text counts, nulls first. A null score is 0. An empty table gives no rows. Columns other
+    than these six are not looked at.
     """
-    nodes = stored(messages.select("tree", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score")))
+    nodes = stored(_first_of(messages, "parent", "score").withColumn("score", F.coalesce("score", F.lit(0.0))))
     up = stored(nodes.select("tree", "node", F.col("parent").alias("above"), F.lit(1).cast("long").alias("steps"), "score"))
-    jumps = [up]
-    # After k rounds a message has jumped 2**k messages up, or beyond its root (above null).
-    while up.filter("above is not null").limit(1).count() and len(jumps) < 40:
-        higher = up.select("tree", F.col("node").alias("above"), F.col("above").alias("_above"),
-                           F.col("steps").alias("_steps"), F.col("score").alias("_score"))
-        up = stored(up.join(higher, ["tree", "above"], "left").select(
-            "tree", "node", F.col("_above").alias("above"),
-            (F.col("steps") + F.coalesce("_steps", F.lit(0))).alias("steps"),
-            (F.col("score") + F.coalesce("_score", F.lit(0.0))).alias("score"),
-            (F.col("above").isNotNull() & F.col("_steps").isNull()).alias("_lost"),
-        ).filter("not _lost").drop("_lost"))
-        jumps.append(up)
-    complete = up.filter("above is null")
+    largest = nodes.groupBy("tree").count().agg(F.max("count")).first()[0] or 0
+    # After k rounds a message has jumped 2**k messages up, or beyond its root (above null). One
+    # that is beyond its root rests; no path is longer than its tree, so a cycle ends the rounds.
+    jumps, complete, jumped = [], up.filter("above is null"), up.filter("above is not null")
+    while jumped.limit(1).count() and 2 ** len(jumps) < largest:
+        jumps.append(jumped)
+        higher = complete.unionByName(jumped).select(
+            "tree", F.col("node").alias("above"), F.col("above").alias("_above"),
+            F.col("steps").alias("_steps"), F.col("score").alias("_score"),
+        )
+        up = stored(jumped.join(higher, ["tree", "above"]).select(
+            "tree", "node", F.col("_above").alias("above"), (F.col("steps") + F.col("_steps")).alias("steps"),
+            (F.col("score") + F.col("_score")).alias("score"),
+        ))
+        complete, jumped = complete.unionByName(up.filter("above is null")), up.filter("above is not null")
     inner = nodes.filter("parent is not null").select("tree", F.col("parent").alias("node")).distinct()
     leaves = complete.join(inner, ["tree", "node"], "left_anti").groupBy("tree").agg(
         F.min_by("node", F.struct(-F.col("score"), -F.col("steps"), F.col("node"))).alias("node")
     )
     path = leaves
-    for step in reversed(jumps[:-1]):
-        higher = path.join(step, ["tree", "node"]).filter("above is not null").select("tree", F.col("above").alias("node"))
+    for step in reversed(jumps):
+        higher = path.join(step, ["tree", "node"]).select("tree", F.col("above").alias("node"))
         path = stored(path.unionByName(higher).distinct())
     depth = complete.select("tree", "node", F.col("steps").alias("depth"))
-    return messages.join(path, ["tree", "node"]).join(depth, ["tree", "node"])
+    said = _first_of(messages, "parent", "score", "role", "text")
+    return said.join(path, ["tree", "node"]).join(depth, ["tree", "node"])
+
+
+def _first_of(messages: DataFrame, *columns: str) -> DataFrame:
+    """One row per tree and node: the least of `columns`, taken as one value."""
+    return messages.filter("tree is not null and node is not null").groupBy("tree", "node").agg(
+        F.min(F.struct(*columns)).alias("_least")
+    ).select("tree", "node", "_least.*")
 
 
 def format_paths(paths: DataFrame) -> DataFrame:

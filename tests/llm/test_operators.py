@@ -233,6 +233,14 @@ def test_chat(spark):
     assert chat.unescape(got[1].formatted[got[1].loss[0].start : got[1].loss[0].end]) == "</s>good\n"
     assert chat.parse(got[2].formatted) == [("", "")] and got[2].loss == []
     assert chat.format_paths(chat.best_paths(messages.limit(0))).count() == 0
+    # A repeated row, rows without tree or node, a cycle, a chain deeper than many doublings.
+    odd = [(3, 1, None, "user", "once", 0.0)] * 2 + [(3, None, 1, "user", "x", 9.0), (None, 1, None, "user", "x", 9.0)]
+    odd += [(4, 1, 2, "user", "x", 1.0), (4, 2, 1, "user", "y", 1.0)]
+    odd += [(5, i, i - 1 or None, "user", str(i), 0.1) for i in range(1, 301)]
+    extra = spark.createDataFrame([(*r, 0, 0, 0) for r in odd], messages.schema.simpleString()[7:-1].replace(":", " ").replace(",", ", ") + ", depth int, above int, steps int")
+    got = {r.tree: r for r in chat.format_paths(chat.best_paths(extra)).collect()}
+    assert set(got) == {3, 5} and chat.parse(got[3].formatted) == [("user", "once")]
+    assert [t for _, t in chat.parse(got[5].formatted)] == [str(i) for i in range(1, 301)]
     rng = random.Random(1)
     bits = ["\\", "<s>", "</s>", "[TEXT]", "[INST]", "[/INST]", "a", "\n"]
     for _ in range(300):
