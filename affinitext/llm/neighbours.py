@@ -24,8 +24,9 @@ BRANCHES = 8
 LEAF_VECTORS = 64
 CALIBRATED_QUERIES = 400
 RECALL = 0.98
-#: Vectors of a leaf that one task compares with the queries that visit it.
+#: Vectors of a leaf, and queries that visit it, that one task compares.
 BLOCK_VECTORS = 20_000
+BLOCK_QUERIES = 20_000
 SLACK = 1e-9
 
 
@@ -132,7 +133,7 @@ def nearest(
     Vectors that are null, zero, of another length, or hold nulls or non-finite numbers take no
     part, nor do rows with a null id. Equal scores go by vec_id; a row is never its own
     neighbour, rows that repeat its id neither. An empty table gives no rows. Every vector is
-    indexed; leaves with many vectors are dealt to several tasks.
+    indexed; leaves with many vectors or many queries are dealt to several tasks.
     """
     spark = vectors.sparkSession
     rows = stored(usable(vectors))
@@ -165,11 +166,20 @@ def nearest(
             )
 
     indexed = stored(rows.mapInArrow(index, "leaf int, vec_id bigint, v array<double>"))
-    shares = F.broadcast(indexed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_VECTORS).cast("int").alias("_of")))
-    blocks = indexed.join(shares, "leaf").withColumn("part", F.pmod(F.xxhash64("vec_id"), F.col("_of")).cast("int"))
     asked = rows.filter(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
-    routed = asked.mapInArrow(route, "leaf int, query_id bigint, q array<double>").join(shares, "leaf").withColumn(
-        "part", F.explode(F.sequence(F.lit(0), F.col("_of") - 1))
+    visiting = stored(asked.mapInArrow(route, "leaf int, query_id bigint, q array<double>"))
+    # One row per leaf, and the sample bounds the leaves.
+    parts = F.broadcast(
+        indexed.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_VECTORS).cast("int").alias("_of")).join(
+            visiting.groupBy("leaf").agg(F.ceil(F.count("*") / BLOCK_QUERIES).cast("int").alias("_asked")), "leaf"
+        )
+    )
+    each_part, each_ask = (F.explode(F.sequence(F.lit(0), F.col(c) - 1)) for c in ("_of", "_asked"))
+    blocks = indexed.join(parts, "leaf").withColumn(
+        "part", F.pmod(F.xxhash64("vec_id"), F.col("_of")).cast("int")
+    ).withColumn("ask", each_ask)
+    routed = visiting.join(parts, "leaf").withColumn("part", each_part).withColumn(
+        "ask", F.pmod(F.xxhash64("query_id"), F.col("_asked")).cast("int")
     )
 
     def compare(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
@@ -196,8 +206,9 @@ def nearest(
         return pa.table({"query_id": pa.array(out_q, pa.int64()), "vec_id": pa.array(out_v, pa.int64()),
                          "score": pa.array(out_s, pa.float64())})
 
-    found = routed.select("leaf", "part", "query_id", "q").groupBy("leaf", "part").cogroup(
-        blocks.select("leaf", "part", "vec_id", "v").groupBy("leaf", "part")
+    block = ["leaf", "part", "ask"]
+    found = routed.select(*block, "query_id", "q").groupBy(*block).cogroup(
+        blocks.select(*block, "vec_id", "v").groupBy(*block)
     ).applyInArrow(compare, result)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= n).select(
