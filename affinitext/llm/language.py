@@ -204,7 +204,8 @@ def identify(docs: DataFrame, model: Model | None = None, **settings) -> DataFra
             named, best = [], []
             for text in batch.column(2):
                 words = words_of(text.as_py())
-                if not words or not chances:
+                # Signs such as one half count as word characters, but are no letters.
+                if not words or not chances or not any(map(str.isalpha, text.as_py())):
                     named.append("und")
                     best.append(0.0)
                     continue

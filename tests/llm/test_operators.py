@@ -199,7 +199,7 @@ def test_quality_rejects_outliers_only(spark):
     assert judged.join(junk, "doc_id").filter("_kept").count() == 0
 
 
-def test_language(docs, none):
+def test_language(spark, docs, none):
     lattice = language.Lattice(["a", "b", "ab", "aba"])
     ends = lattice.of("aba")
     a, b, ab, aba = 0.4, 0.3, 0.2, 0.1
@@ -213,6 +213,9 @@ def test_language(docs, none):
     assert got[1].lang_pred == got[3].lang_pred == "und" and got[1].score == 0
     assert all((zlib.crc32(str(i).encode()) % 4 == 2) == r.held_out for i, r in got.items() if i is not None)
     assert all(0 <= r.score <= 1 for r in got.values())
+    signs = [(1, "\u00bd \u00b2 12 !", "fr"), (2, "\u00bd x", "fr")]
+    got = {r.doc_id: r.lang_pred for r in language.identify(spark.createDataFrame(signs, "doc_id bigint, text string, lang string")).collect()}
+    assert got == {1: "und", 2: "fr"}
     assert language.identify(none).count() == 0
 
 
