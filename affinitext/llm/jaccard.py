@@ -196,6 +196,8 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
             for k in range(1, MOST + 1)
         ]
     )
+    # No pair can be asked for more matches than it is sure to have.
+    costs = F.slice(costs, 1, F.greatest(F.lit(1), F.least(F.lit(MOST), F.ceil(n * percent / 100).cast("int"))))
     chosen = listed.filter(F.col("spare") + 1 > 0).withColumn("l", F.array_min(costs)["l"])
     taken = F.slice("common", 1, (F.col("spare") + F.col("l")).cast("int"))
     return chosen.select("node", "n", "own", "l", F.posexplode(taken).alias("i", "x")).select(
@@ -204,7 +206,7 @@ def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _possible(percent: int):
-    """Sizes n, m and places i, j of a shared token allow the similarity."""
+    """Sizes n, m and places i, j of the first shared token allow the similarity."""
     least = f"ceil({percent} * (n + m) / {100 + percent})"
     return F.expr(f"least(n - i, m - j) >= {least} and least(n, m) * 100 >= greatest(n, m) * {percent}")
 
@@ -255,10 +257,15 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     pairs = smaller.join(larger, ["token", "band"]).filter("_ra <> _rb").filter(
         "n < m or (n = m and a < b)"
     ).filter(_possible(percent))
-    pairs = pairs.groupBy("a", "b").agg(
-        F.count("*").alias("_met"), F.first(F.least("_la", "_lb")).alias("_l")
-    )
-    return first.unionByName(_verified(pairs.filter("_met >= _l"), sets, percent))
+    # Only the first match is sure to lie that early; all are counted over the whole l-prefixes.
+    pairs = stored(pairs.groupBy("a", "b").agg(F.first(F.least("_la", "_lb")).alias("_l")))
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    heads = stored(rest.join(nodes, "node", "left_semi").groupBy("node").agg(F.collect_list("token").alias("head")))
+    met = F.size(F.array_intersect("_x", "_y"))
+    pairs = pairs.join(heads.select(F.col("node").alias("a"), F.col("head").alias("_x")), "a").join(
+        heads.select(F.col("node").alias("b"), F.col("head").alias("_y")), "b"
+    ).filter(met >= F.col("_l")).select("a", "b")
+    return first.unionByName(_verified(pairs, sets, percent))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
