@@ -23,13 +23,13 @@ CORE = 0.75
 STEPS = 4
 #: Rarer sources of a language are judged together, rarer languages too.
 MIN_GROUP = 100
-#: Squared distance beyond which a document is an outlier: the 0.99999 quantile of the
+#: Squared distance beyond which a document is an outlier: the 0.99 quantile of the
 #: chi-squared distribution with as many degrees of freedom as there are statistics (5).
-CUTOFF = 30.86
+CUTOFF = 15.09
 #: A share of CORE nearest points of a normal sample understates its covariance by this factor.
-CONSISTENCY = 1.78
-#: Least standard deviations: differences of less than these are never unusual.
-STATS = {"length": 1.5, "word_length": 0.25, "symbols": 0.7, "duplicates": 0.7, "repeats": 0.8}
+CONSISTENCY = 1.41
+#: Least standard deviations, for statistics that vary less than this in a group.
+STATS = {"length": 0.75, "word_length": 0.1, "symbols": 0.7, "duplicates": 0.7, "repeats": 0.8}
 
 
 def base_measures(docs: DataFrame) -> DataFrame:
@@ -121,6 +121,10 @@ def _factor(groups: DataFrame) -> DataFrame:
     )
 
 
+def _spread(variance: Column, name: str) -> Column:
+    return F.greatest(variance, F.lit(STATS[name] ** 2))
+
+
 def estimates(rows: DataFrame, core: float = CORE, steps: int = STEPS) -> DataFrame:
     """Centre and triangular factor of every `_group` of `rows` with statistics `_x_*`."""
     names = list(STATS)
@@ -131,7 +135,7 @@ def estimates(rows: DataFrame, core: float = CORE, steps: int = STEPS) -> DataFr
     start = middle.select(
         "_group", *[F.col(f"_q_{x}")[0].alias(f"_m_{x}") for x in names],
         *[
-            (F.pow((F.col(f"_q_{x}")[2] - F.col(f"_q_{x}")[1]) / 1.349, 2) + STATS[x] ** 2
+            (_spread(F.pow((F.col(f"_q_{x}")[2] - F.col(f"_q_{x}")[1]) / 1.349, 2), x)
              if i == j else F.lit(0.0)).alias(f"_c_{i}_{j}")
             for i, x in enumerate(names) for j in range(i + 1)
         ],
@@ -155,9 +159,11 @@ def estimates(rows: DataFrame, core: float = CORE, steps: int = STEPS) -> DataFr
         found = stored(_factor(moments.select(
             "_group", *[(F.col(f"_o_{x}") + F.col(f"_a_{x}")).alias(f"_m_{x}") for x in names],
             *[
-                ((F.col(f"_p_{i}_{j}") - F.col(f"_a_{x}") * F.col(f"_a_{y}")) * CONSISTENCY
-                 + (STATS[x] ** 2 if i == j else 0.0)).alias(f"_c_{i}_{j}")
-                for i, x in enumerate(names) for j, y in enumerate(names[: i + 1])
+                (_spread(c, x) if i == j else c).alias(f"_c_{i}_{j}")
+                for i, j, x, c in (
+                    (i, j, x, (F.col(f"_p_{i}_{j}") - F.col(f"_a_{x}") * F.col(f"_a_{y}")) * CONSISTENCY)
+                    for i, x in enumerate(names) for j, y in enumerate(names[: i + 1])
+                )
             ],
         )))
     return found
