@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from affinitext.llm import chat, cotraining, jaccard, language, mixing, neighbours, packing, quality, suffixes, warc
+from affinitext.llm import (
+    chat, cotraining, jaccard, language, manifest, mixing, neighbours, packing, quality, suffixes, warc,
+)
 from affinitext.llm.common import stored, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -105,3 +107,16 @@ def op10_kmeans_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op4_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cotraining.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    tampered = F.when(F.crc32(F.col("doc_id").cast("string")) % 7 == 0, F.col("n_chars") + 1).otherwise(F.col("n_chars"))
+    docs = docs.withColumn("_tampered", manifest.leaf_hash(*[tampered if f == "n_chars" else F.col(f) for f in manifest.FIELDS]))
+    rows = manifest.manifest(docs, carry=["_tampered"])
+    folded = manifest.fold(F.col("_tampered"), F.col("path"))
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"), (folded == F.col("root")).alias("verified"),
+    )
