@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinitext.llm import (
-    chat, cotraining, jaccard, language, manifest, mixing, neighbours, packing, quality, suffixes, warc,
+    chat, cotraining, jaccard, language, manifest, mixing, neighbours, packing, quality, suffixes, trie, warc,
 )
 from affinitext.llm.common import stored, table
 
@@ -120,3 +120,8 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", manifest.proof_digest(F.col("path")).alias("proof_sha256"),
         folded.alias("folded_root"), (folded == F.col("root")).alias("verified"),
     )
+
+
+@query()
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(table(spark, sf_dir, "conversations"))
