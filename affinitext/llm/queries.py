@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from affinitext.llm import (
-    chat, cotraining, jaccard, language, manifest, mixing, neighbours, packing, quality, suffixes, trie, warc,
+    chat, cotraining, jaccard, language, manifest, mixing, neighbours, packing, quality, secrets, suffixes, trie, warc,
 )
 from affinitext.llm.common import stored, table
 
@@ -125,3 +125,17 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie.trie(table(spark, sf_dir, "conversations"))
+
+
+@query()
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    base = secrets.base_only(F.col("spans"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select(
+        "doc_id", count("assign"), count("access"), count("hex"),
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"), secrets.joined(F.col("spans")).alias("spans"),
+    )
