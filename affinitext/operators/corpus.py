@@ -20,6 +20,9 @@ RAW_ONLY_COLUMNS = ("text_html", "test_preprocessed")
 SAMPLE_SIZE = 25
 # ---------------------------------------------------------------------------------------
 
+#: The column that names a row of a stored corpus, as a position does.
+ROW_KEY = "row_key"
+
 
 def with_pub_date(df: DataFrame, column: str = "pub_date") -> DataFrame:
     """Parse the stored date text; a date that is already a timestamp is left as it is."""
@@ -113,6 +116,19 @@ def dedup_rows(df: DataFrame) -> DataFrame:
     return df.dropDuplicates()
 
 
+def with_row_key(corpus: DataFrame, id_col: str = "id", key: str = ROW_KEY) -> DataFrame:
+    """`corpus` plus `key`, a bigint that tells its rows apart, ids repeated or not.
+
+    Rows are range-partitioned by id and sorted, so keys ascend with the id (rows of one id by
+    all their other columns) and a stored corpus is laid out by id. The keys are made where
+    the corpus is written and read from there on: vectors, index and hits carry them, so that
+    two rows of one id are two candidates, like two positions.
+    """
+    others = [F.to_json(F.struct(*[c for c in corpus.columns if c not in (id_col, key)]))]
+    placed = corpus.drop(key).repartitionByRange(id_col).sortWithinPartitions(id_col, *others)
+    return placed.withColumn(key, F.monotonically_increasing_id())
+
+
 def sample_exact(
     df: DataFrame, n: int = SAMPLE_SIZE, seed: str = "0", id_col: str = "id"
 ) -> DataFrame:

@@ -152,19 +152,24 @@ def attach_vectors(corpus: DataFrame, vectors: DataFrame, id_col: str = "id") ->
     return corpus.join(vectors.select(id_col, "vector"), id_col, "left")
 
 
-def build_index(corpus: DataFrame, vectors: DataFrame, id_col: str = "id") -> DataFrame:
+def build_index(
+    corpus: DataFrame, vectors: DataFrame, id_col: str = "id", key: str | None = None
+) -> DataFrame:
     """What a search scans: id, date and vector, without the texts.
 
-    Built once and stored, it spares every search the join of corpus and vectors. An id
-    names one document: repeated ids stop the job, here and in a query by id. Choose rows
-    by `operators.corpus.one_per_id`, which also reports the others.
+    Built once and stored, it spares every search the join of corpus and vectors. Without
+    `key` an id names one document and repeated ids stop the job; choose rows by
+    `operators.corpus.one_per_id`, which also reports the others. With `key` (the row key of
+    `operators.corpus.with_row_key`, by which `vectors` are then keyed too) every row is a
+    candidate of its own and ids may repeat; a repeated key stops the job.
     """
-    dated = corpus.select([c for c in (id_col, "pub_date", "year") if c in corpus.columns])
-    index = attach_vectors(dated, vectors, id_col)
-    message = F.concat(F.lit("several rows have the id "), F.col(id_col).cast("string"))
-    rows = F.count(F.lit(1)).over(Window.partitionBy(id_col))
+    unique = key or id_col
+    dated = corpus.select([c for c in (key, id_col, "pub_date", "year") if c and c in corpus.columns])
+    index = attach_vectors(dated, vectors, unique)
+    message = F.concat(F.lit(f"several rows have the {unique} "), F.col(unique).cast("string"))
+    rows = F.count(F.lit(1)).over(Window.partitionBy(unique))
     return index.withColumn("_rows", rows).withColumn(
-        id_col, F.when(F.col("_rows") == 1, F.col(id_col)).otherwise(F.raise_error(message))
+        unique, F.when(F.col("_rows") == 1, F.col(unique)).otherwise(F.raise_error(message))
     ).drop("_rows")
 
 

@@ -64,6 +64,7 @@ def exclude_self(
     query: str = "query_id",
     query_text: str = "query",
     text_col: str = "text_cleaned",
+    rank: str = "rank",
 ) -> DataFrame:
     """Drop the best hit when its text is the query text, and move the others up.
 
@@ -74,8 +75,8 @@ def exclude_self(
         raise ValueError(f"mode must be one of {EXCLUDE_MODES}")
     if mode == "none":
         return ranked
-    is_self = (F.col("rank") == 1) & F.col(text_col).eqNullSafe(F.col(query_text))
+    is_self = (F.col(rank) == 1) & F.col(text_col).eqNullSafe(F.col(query_text))
     found = F.max(F.when(is_self, 1).otherwise(0)).over(Window.partitionBy(query))
     return (
-        ranked.withColumn("rank", F.col("rank") - found).filter(F.col("rank") >= 1)
+        ranked.withColumn(rank, F.col(rank) - found).filter(F.col(rank) >= 1)
     )

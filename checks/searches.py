@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from affinitext.functions.text import plain_tokens
 from affinitext.operators.compare import compare_models, self_hits
-from affinitext.operators.corpus import build_eval_set, filter_before, filter_years
-from affinitext.operators.doc_vectors import attach_vectors, mean_vectors
+from affinitext.operators.corpus import ROW_KEY, build_eval_set, filter_before, filter_years, with_row_key
+from affinitext.operators.doc_vectors import attach_vectors, build_index, mean_vectors
 from affinitext.operators.queries import with_query_columns
 from affinitext.operators.rank import clamp_n, exclude_self, rank_per_query, top_n
 from affinitext.operators.score import best_candidates, score_all
@@ -28,6 +28,7 @@ from checks.inputs import (
     pooled,
     quoted,
     rounded,
+    stored,
     table,
     tokens,
     with_ctes,
@@ -363,3 +364,45 @@ def j6_compare_models(spark, sf_dir):
     ranked = rank_by_model(*eval_inputs(spark, sf_dir))
     wide = compare_models(ranked, "hit_id")
     return wide.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+def shared_ids(spark, sf_dir):
+    """The corpus with every two documents under one id, each a row of its own."""
+    docs = corpus(spark, sf_dir).withColumnRenamed("id", "doc_id").withColumn("id", F.floor(F.col("doc_id") / 2))
+    return stored(spark, sf_dir, "shared-ids", lambda: with_row_key(docs))
+
+
+def shared_index(spark, sf_dir):
+    """Mean vectors by row key, and the index of the corpus whose ids repeat."""
+    docs = shared_ids(spark, sf_dir)
+    toks = docs.select(ROW_KEY, plain_tokens(F.col("text_cleaned")).alias("preprocessed_text"))
+    return stored(spark, sf_dir, "shared-index", lambda: build_index(
+        docs, mean_vectors(toks, words(spark, sf_dir), ROW_KEY), key=ROW_KEY))
+
+
+@case(with_ctes(f"""{DOCS}, {MEANS},
+asked AS (
+  SELECT d.id AS query_id, d.id % 5 + 1 AS n, d.text_cleaned AS query, m.v
+  FROM docs d JOIN mean_vecs m USING (id)),
+cand AS (SELECT d.id // 2 AS id, d.text_cleaned, m.v FROM docs d LEFT JOIN mean_vecs m USING (id)),
+placed AS (
+  SELECT a.query_id, a.query, a.n, c.id, c.text_cleaned, list_cosine_similarity(a.v, c.v) AS score,
+         row_number() OVER (PARTITION BY a.query_id
+                            ORDER BY round(list_cosine_similarity(a.v, c.v), 9) DESC NULLS LAST, c.id) AS r,
+         count(*) OVER (PARTITION BY a.query_id) AS c
+  FROM asked a, cand c),
+flagged AS (
+  SELECT *, max(CASE WHEN r = 1 AND query = text_cleaned THEN 1 ELSE 0 END)
+            OVER (PARTITION BY query_id) AS self FROM placed)""", """
+SELECT query_id, r - self AS rank, id, round(score, 6) + 0.0 AS cosine_sim_score
+FROM flagged WHERE r - self BETWEEN 1 AND CASE WHEN c < n THEN 1 ELSE n END AND score IS NOT NULL"""))
+def e2_search_shared_ids(spark, sf_dir):
+    """Every document asks by its own row, against a corpus in which each id names two rows."""
+    docs, index = shared_ids(spark, sf_dir), shared_index(spark, sf_dir)
+    queries = docs.join(index.select(ROW_KEY, "vector"), ROW_KEY).select(
+        F.col("doc_id").alias("query_id"), F.col("text_cleaned").alias("query"), "vector",
+        (F.col("doc_id") % 5 + 1).cast("int").alias("n"),
+    )
+    found = batch_search(queries, index, docs)
+    return found.select("query_id", F.col("rank").cast("bigint").alias("rank"), "id",
+                        rounded("cosine_sim_score").alias("cosine_sim_score"))

@@ -284,3 +284,38 @@ def test_session_as_a_stream(spark, library, tmp_path):
     assert {q for q, _ in got} == {1, 4, 5} and got[(5, "1")] is not None and len(got) == 8
     refused = {r["query_id"]: r["reason"] for r in spark.read.json(f"{out}/rejected").collect()}
     assert refused == {2: "no document has this id", 3: "month must be 1 to 12"}
+
+
+def test_repeated_ids_are_candidates_of_their_own(spark):
+    """Two rows of one id are two candidates, each ranked once; internal names do not clash."""
+    from affinitext.operators.corpus import ROW_KEY, one_per_id, with_row_key
+
+    vectors = [[1.0, 0.0], [0.9, 0.1], [0.8, 0.3], [0.9, 0.1], [0.1, 1.0], None]
+    ids = [1, 2, 2, 3, 3, 4]
+    rows = [(i, f"t{k}", 7, 8.0, "x", v) for k, (i, v) in enumerate(zip(ids, vectors))]
+    raw = spark.createDataFrame(
+        rows, "id long, text_cleaned string, rank int, score double, __key string, vector array<double>")
+    docs = with_row_key(raw.drop("vector"))
+    keys = docs.select(ROW_KEY, "id", "text_cleaned").collect()
+    assert len({r[ROW_KEY] for r in keys}) == len(rows)
+    assert [r["id"] for r in sorted(keys, key=lambda r: r[ROW_KEY])] == sorted(ids)
+    vecs = docs.join(raw.select("text_cleaned", "vector"), "text_cleaned").select(ROW_KEY, "vector")
+    index = build_index(docs, vecs, key=ROW_KEY)
+    queries = spark.createDataFrame([(0, "q", [1.0, 0.0], 3), (1, "t4", [0.1, 1.0], 5)],
+                                    "query_id long, query string, vector array<double>, n int")
+    found = batch_search(queries, index, docs).collect()
+    by_query = {}
+    for r in found:
+        by_query.setdefault(r["query_id"], []).append(r)
+    want0 = sorted(((-round(score([1.0, 0.0], v), 9), i, t) for i, t, v in
+                    zip(ids, [f"t{k}" for k in range(6)], vectors) if v), key=lambda x: (x[0], x[1]))
+    assert [(r["rank"], r["id"]) for r in sorted(by_query[0], key=lambda r: r["rank"])] == \
+        [(k + 1, w[1]) for k, w in enumerate(want0[:3])]
+    assert sorted(r["rank"] for r in by_query[1]) == [1, 2, 3, 4]  # its own text, best, is left out
+    assert {r["rank"] for r in found} and all(r["score"] == 8.0 and r["__key"] == "x" for r in found)
+    with pytest.raises(PySparkException):
+        build_index(docs, vecs).collect()
+    kept, others = one_per_id(raw.drop("vector"))
+    assert sorted(r["id"] for r in kept.collect()) == [1, 2, 3, 4] and others.count() == 2
+    with pytest.raises(PySparkException):
+        build_index(docs.union(docs), vecs, key=ROW_KEY).collect()
