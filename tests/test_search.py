@@ -319,3 +319,28 @@ def test_repeated_ids_are_candidates_of_their_own(spark):
     assert sorted(r["id"] for r in kept.collect()) == [1, 2, 3, 4] and others.count() == 2
     with pytest.raises(PySparkException):
         build_index(docs.union(docs), vecs, key=ROW_KEY).collect()
+
+
+def test_blocks_one_at_a_time_with_own_k(spark, index, monkeypatch):
+    """Many blocks give the rows of one, each block is on the driver alone, and each query
+    keeps as many as it asks for."""
+    from affinitext.operators import score as scoring
+
+    rows = [(q, VECTORS[q] or [1.0, 0, 0, 0], q % 4 + 1) for q in range(0, N, 7)]
+    queries = with_query_columns(spark.createDataFrame(rows, "query_id long, vector array<double>, k int"))
+    whole = {tuple(r) for r in best_candidates(queries, index, 4, k_col="k").collect()}
+    sizes, real = [], scoring._collect_block
+
+    def counted(df):
+        block = real(df)
+        sizes.append(0 if block is None else len(block.ids))
+        return block
+
+    monkeypatch.setattr(scoring, "_collect_block", counted)
+    parts = {tuple(r) for r in best_candidates(queries, index, 4, block_bytes=1500, k_col="k").collect()}
+    assert parts == whole and len(sizes) > 3 and max(sizes) < len(rows) / 2
+    ks = dict((q, k) for q, _, k in rows)
+    per = {}
+    for q, _, _, rank in whole:
+        per.setdefault(q, []).append(rank)
+    assert all(sorted(r) == list(range(1, ks[q] + 1)) for q, r in per.items())
