@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from affinitext.functions.vectors import concat_vectors, unit
 from affinitext.operators.lookup import BROADCAST_BYTES, fits_broadcast, lookup_join
@@ -79,25 +86,87 @@ def measure_vectors(words: DataFrame) -> tuple[int, int]:
     return row["dims"] or 0, row["bytes"] or 0
 
 
+def _partial_sums(key_type: T.DataType, dims: int, weighted: bool, pooled: bool):
+    """Arrow batches of (key, vector[, weight]) -> per batch and key: weight total, weighted
+    sum and, if `pooled`, maxima. Vectors count up to `dims` components, missing ones as 0
+    (and not at all in maxima); a null weight counts as 0."""
+    arrow_key = to_arrow_type(key_type)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            keys = batch.column(0).to_pandas()
+            codes, _ = pd.factorize(keys, use_na_sentinel=False)
+            column = batch.column(1)
+            lengths = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            flat = column.flatten().fill_null(np.nan).to_numpy(zero_copy_only=False).astype(np.float64)
+            rows = np.repeat(np.arange(len(lengths)), lengths)
+            places = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            inside = places < dims
+            values = np.full((len(lengths), dims), np.nan)
+            values[rows[inside], places[inside]] = flat[inside]
+            weight = (batch.column(2).to_pandas().fillna(0).to_numpy(np.float64) if weighted
+                      else np.ones(len(lengths)))
+            order = np.argsort(codes, kind="stable")
+            ordered = codes[order]
+            starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
+            present = np.nan_to_num(values[order], nan=0.0)
+            sums = np.add.reduceat(present * weight[order][:, None], starts, axis=0)
+            totals = np.add.reduceat(weight[order], starts)
+            arrays = [batch.column(0).take(pa.array(order[starts])).cast(arrow_key), pa.array(totals),
+                      _lists(sums, dims)]
+            names = ["key", "_n", "_s"]
+            if pooled:
+                tops = np.maximum.reduceat(np.nan_to_num(values[order], nan=-np.inf), starts, axis=0)
+                arrays.append(_lists(tops, dims))
+                names.append("_m")
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    return run
+
+
+def _lists(matrix: np.ndarray, dims: int) -> pa.Array:
+    offsets = pa.array(np.arange(0, (len(matrix) + 1) * dims, dims, dtype=np.int32))
+    return pa.ListArray.from_arrays(offsets, pa.array(matrix.reshape(-1)))
+
+
 def aggregate_vectors(
     rows: DataFrame, key: str, dims: int, weight: str | None = None, pooled: bool = False
 ) -> DataFrame:
     """(key, vector): the mean vector of each group, followed by its maxima if `pooled`.
 
-    One plain aggregate per component, with fixed-width buffers, combined within each
-    partition before the shuffle. They run in generated code up to the session's
-    `spark.sql.codegen.maxFields` components, interpreted beyond.
+    Each Arrow batch sums its rows per key in numpy; the few partial sums of a key are then
+    merged by one aggregate over arrays, so the plan does not grow with the dimensions and
+    no component becomes a column of its own. A group whose weights sum to 0 has no mean.
     """
-    value = "get(vector, {})"
-    weighted = f"{value} * {weight}" if weight else value
-    total = f"sum({weight})" if weight else "count(1)"
-    sums = [F.expr(f"sum({weighted.format(i)})").alias(f"s{i}") for i in range(dims)]
-    tops = [F.expr(f"max({value.format(i)})").alias(f"m{i}") for i in range(dims)] if pooled else []
-    grouped = rows.groupBy(key).agg(F.expr(total).alias("_n"), *sums, *tops)
-    mean: Column = F.array(*[F.expr(f"s{i} / _n") for i in range(dims)])
+    key_type = rows.schema[key].dataType
+    inputs = [F.col(key), F.col("vector").cast("array<double>")] + ([F.col(weight)] if weight else [])
+    schema = T.StructType([
+        T.StructField("key", key_type), T.StructField("_n", T.DoubleType()),
+        T.StructField("_s", T.ArrayType(T.DoubleType())),
+        *([T.StructField("_m", T.ArrayType(T.DoubleType()))] if pooled else []),
+    ])
+    partial = rows.select(inputs).mapInArrow(_partial_sums(key_type, dims, bool(weight), pooled), schema)
+    parts = ["_n", "_s", *(["_m"] if pooled else [])]
+    grouped = partial.groupBy(F.col("key").alias(key)).agg(F.collect_list(F.struct(*parts)).alias("_p"))
+    start = F.struct(
+        F.lit(0.0).alias("_n"), F.array_repeat(F.lit(0.0), dims).alias("_s"),
+        *([F.array_repeat(F.lit(float("-inf")), dims).alias("_m")] if pooled else []),
+    )
+
+    def merge(acc: Column, x: Column) -> Column:
+        return F.struct(
+            (acc["_n"] + x["_n"]).alias("_n"), F.zip_with(acc["_s"], x["_s"], lambda a, b: a + b).alias("_s"),
+            *([F.zip_with(acc["_m"], x["_m"], lambda a, b: F.greatest(a, b)).alias("_m")] if pooled else []),
+        )
+
+    total = F.aggregate("_p", start, merge)
+    mean: Column = F.transform(total["_s"], lambda x: F.try_divide(x, total["_n"]))
     if pooled:
-        mean = concat_vectors(mean, F.array(*[F.col(f"m{i}") for i in range(dims)]))
-    return grouped.select(key, mean.cast("array<double>").alias("vector"))
+        tops = F.transform(total["_m"], lambda x: F.when(x > float("-inf"), x))
+        mean = concat_vectors(mean, tops)
+    return grouped.select(key, F.when(total["_n"] != 0, mean).cast("array<double>").alias("vector"))
 
 
 def mean_vectors(

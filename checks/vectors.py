@@ -26,6 +26,8 @@ from affinitext.operators.words import (
 )
 from affinitext.sources.vectors import model_words
 from checks.inputs import (
+    hash_vector,
+    stored,
     DIMS,
     MEANS,
     TOKENS,
@@ -276,3 +278,44 @@ def a8_train_words(spark, sf_dir):
     model = model_words(train_words(tokens(spark, sf_dir), seed=1))
     finite = F.forall("vector", lambda x: ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
     return model.select("word", F.size("vector").cast("bigint").alias("dims"), finite.alias("finite"))
+
+
+# --- the same vectors at the widths of real models -----------------------------------------
+
+
+def wide_words(spark, sf_dir, dims):
+    """Word vectors of `dims` components, stored like the narrow ones."""
+    return stored(spark, sf_dir, f"words-{dims}", lambda: build_vocab(tokens(spark, sf_dir)).select(
+        "word", hash_vector(F.col("word"), dims=dims).alias("vector")))
+
+
+def wide_sql(dims: int, query: str) -> str:
+    return with_ctes(MEANS.replace(f"range({DIMS})", f"range({dims})"), query)
+
+
+@case(wide_sql(100, "SELECT id, i, round(x, 6) + 0.0 AS x FROM means"))
+def a2_mean_vectors_100(spark, sf_dir):
+    return long_vector(mean_vectors(tokens(spark, sf_dir), wide_words(spark, sf_dir, 100)), "id")
+
+
+@case(wide_sql(200, "SELECT id, i, round(x, 6) + 0.0 AS x FROM means"))
+def a2_mean_vectors_200_by_shuffle(spark, sf_dir):
+    found = mean_vectors(tokens(spark, sf_dir), wide_words(spark, sf_dir, 200), broadcast=False)
+    return long_vector(found, "id")
+
+
+POOLED_WIDE = """
+SELECT id, i, round(avg(x), 6) + 0.0 AS x FROM toks JOIN comps USING (word) GROUP BY id, i
+UNION ALL
+SELECT id, i + {dims}, round(max(x), 6) + 0.0 FROM toks JOIN comps USING (word) GROUP BY id, i"""
+
+
+@case(wide_sql(100, POOLED_WIDE.format(dims=100)))
+def a3_pooled_vectors_100_by_shuffle(spark, sf_dir):
+    found = pooled_vectors(tokens(spark, sf_dir), wide_words(spark, sf_dir, 100), broadcast=False)
+    return long_vector(found, "id")
+
+
+@case(wide_sql(200, POOLED_WIDE.format(dims=200)))
+def a3_pooled_vectors_200(spark, sf_dir):
+    return long_vector(pooled_vectors(tokens(spark, sf_dir), wide_words(spark, sf_dir, 200)), "id")

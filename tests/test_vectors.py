@@ -203,3 +203,34 @@ def test_training_and_stored_models(spark, tmp_path):
     stored = load_words(spark, str(tmp_path / "words"))
     key = lambda r: r["word"]
     assert sorted(again.collect(), key=key) == sorted(stored.collect(), key=key)
+
+
+def test_aggregate_vectors_against_brute_force(spark):
+    """Partial sums per batch merged over arrays: nulls, short vectors, zero weights, many batches."""
+    import math
+
+    from affinitext.operators.doc_vectors import aggregate_vectors
+
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(400):
+        key = None if i % 97 == 0 else ("k" + str(i % 13))
+        vec = None if i % 31 == 0 else rng.normal(size=3 if i % 17 == 0 else 5).round(3).tolist()
+        rows.append((key, vec, None if i % 23 == 0 else int(i % 4)))
+    rows.append(("zero", [1.0, 2.0, 3.0, 4.0, 5.0], 0))
+    df = spark.createDataFrame(rows, "key string, vector array<double>, tf long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        got = {r["key"]: r["vector"] for r in aggregate_vectors(df, "key", 5, "tf", pooled=True).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for key in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == key]
+        total = sum(r[2] or 0 for r in mine)
+        if total == 0:
+            assert got[key] is None
+            continue
+        sums = [sum((r[1][i] if r[1] and i < len(r[1]) else 0.0) * (r[2] or 0) for r in mine) for i in range(5)]
+        tops = [max((r[1][i] for r in mine if r[1] and i < len(r[1])), default=None) for i in range(5)]
+        want = [s / total for s in sums] + tops
+        assert all((a is None and b is None) or math.isclose(a, b, abs_tol=1e-9) for a, b in zip(got[key], want))
