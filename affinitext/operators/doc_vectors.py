@@ -86,6 +86,27 @@ def measure_vectors(words: DataFrame) -> tuple[int, int]:
     return row["dims"] or 0, row["bytes"] or 0
 
 
+#: Components beyond which vectors are summed in Arrow batches instead of one aggregate each.
+WIDE_FIELDS = 512
+
+
+def _aggregate_by_columns(
+    rows: DataFrame, key: str, dims: int, weight: str | None = None, pooled: bool = False
+) -> DataFrame:
+    """One plain aggregate per component; beyond the session's `spark.sql.codegen.maxFields`
+    components they run interpreted."""
+    value = "get(vector, {})"
+    weighted = f"{value} * {weight}" if weight else value
+    total = f"sum({weight})" if weight else "count(1)"
+    sums = [F.expr(f"sum({weighted.format(i)})").alias(f"s{i}") for i in range(dims)]
+    tops = [F.expr(f"max({value.format(i)})").alias(f"m{i}") for i in range(dims)] if pooled else []
+    grouped = rows.groupBy(key).agg(F.expr(total).alias("_n"), *sums, *tops)
+    mean: Column = F.array(*[F.expr(f"try_divide(s{i}, _n)") for i in range(dims)])
+    if pooled:
+        mean = concat_vectors(mean, F.array(*[F.col(f"m{i}") for i in range(dims)]))
+    return grouped.select(key, F.when(F.col("_n") != 0, mean).cast("array<double>").alias("vector"))
+
+
 def _partial_sums(key_type: T.DataType, dims: int, weighted: bool, pooled: bool):
     """Arrow batches of (key, vector[, weight]) -> per batch and key: weight total, weighted
     sum and, if `pooled`, maxima. Vectors count up to `dims` components, missing ones as 0
@@ -132,14 +153,22 @@ def _lists(matrix: np.ndarray, dims: int) -> pa.Array:
 
 
 def aggregate_vectors(
-    rows: DataFrame, key: str, dims: int, weight: str | None = None, pooled: bool = False
+    rows: DataFrame, key: str, dims: int, weight: str | None = None, pooled: bool = False,
+    by_batches: bool | None = None,
 ) -> DataFrame:
     """(key, vector): the mean vector of each group, followed by its maxima if `pooled`.
 
-    Each Arrow batch sums its rows per key in numpy; the few partial sums of a key are then
-    merged by one aggregate over arrays, so the plan does not grow with the dimensions and
-    no component becomes a column of its own. A group whose weights sum to 0 has no mean.
+    Up to `WIDE_FIELDS` aggregated components, one plain aggregate per component, combined
+    within each partition before the shuffle (measured faster: at sf0.1, 2.8 s against 4.8 s
+    at 16 dimensions and 6.7 s against 10.0 s at 200). Beyond that, or with `by_batches`, each
+    Arrow batch sums its rows per key in numpy and the few partial sums of a key are shuffled
+    by key, sorted and added up run by run, so the plan does not grow with the dimensions.
+    A group whose weights sum to 0 has no mean.
     """
+    if by_batches is None:
+        by_batches = dims * (2 if pooled else 1) > WIDE_FIELDS
+    if not by_batches:
+        return _aggregate_by_columns(rows, key, dims, weight, pooled)
     key_type = rows.schema[key].dataType
     inputs = [F.col(key), F.col("vector").cast("array<double>")] + ([F.col(weight)] if weight else [])
     schema = T.StructType([
@@ -148,25 +177,51 @@ def aggregate_vectors(
         *([T.StructField("_m", T.ArrayType(T.DoubleType()))] if pooled else []),
     ])
     partial = rows.select(inputs).mapInArrow(_partial_sums(key_type, dims, bool(weight), pooled), schema)
-    parts = ["_n", "_s", *(["_m"] if pooled else [])]
-    grouped = partial.groupBy(F.col("key").alias(key)).agg(F.collect_list(F.struct(*parts)).alias("_p"))
-    start = F.struct(
-        F.lit(0.0).alias("_n"), F.array_repeat(F.lit(0.0), dims).alias("_s"),
-        *([F.array_repeat(F.lit(float("-inf")), dims).alias("_m")] if pooled else []),
-    )
+    merged = partial.repartition("key").sortWithinPartitions("key").mapInArrow(
+        _merged_sums(key_type, dims, pooled), schema)
+    mean: Column = F.transform("_s", lambda x: F.try_divide(x, F.col("_n")))
+    if pooled:
+        mean = concat_vectors(mean, F.transform("_m", lambda x: F.when(x > float("-inf"), x)))
+    return merged.select(F.col("key").alias(key), F.when(F.col("_n") != 0, mean).cast("array<double>").alias("vector"))
+
+
+def _merged_sums(key_type: T.DataType, dims: int, pooled: bool):
+    """Partial sums sorted by key -> one row per key. A key's run may go on in the next
+    batch, so the last run of a batch waits for it."""
+    arrow_key = to_arrow_type(key_type)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            table = pa.Table.from_batches([batch]) if held is None else pa.concat_tables(
+                [held, pa.Table.from_batches([batch])])
+            keys = table.column(0).combine_chunks()
+            codes = pd.factorize(keys.to_pandas(), use_na_sentinel=False)[0]
+            starts = np.flatnonzero(np.r_[True, codes[1:] != codes[:-1]])
+            last = starts[-1]
+            done = table.slice(0, last)
+            held = table.slice(last)
+            if last:
+                yield from _reduced(done, starts[starts < last], dims, pooled, arrow_key)
+        if held is not None and held.num_rows:
+            yield from _reduced(held, np.array([0]), dims, pooled, arrow_key)
+
+    return run
+
 
-    def merge(acc: Column, x: Column) -> Column:
-        return F.struct(
-            (acc["_n"] + x["_n"]).alias("_n"), F.zip_with(acc["_s"], x["_s"], lambda a, b: a + b).alias("_s"),
-            *([F.zip_with(acc["_m"], x["_m"], lambda a, b: F.greatest(a, b)).alias("_m")] if pooled else []),
-        )
+def _reduced(table: pa.Table, starts: np.ndarray, dims: int, pooled: bool, arrow_key) -> Iterator[pa.RecordBatch]:
+    """One row per run of equal keys starting at `starts`."""
+    def matrix(name: str) -> np.ndarray:
+        return table.column(name).combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
-    total = F.aggregate("_p", start, merge)
-    mean: Column = F.transform(total["_s"], lambda x: F.try_divide(x, total["_n"]))
+    arrays = [table.column(0).combine_chunks().take(pa.array(starts)).cast(arrow_key),
+              pa.array(np.add.reduceat(table.column("_n").to_numpy(), starts)),
+              _lists(np.add.reduceat(matrix("_s"), starts, axis=0), dims)]
     if pooled:
-        tops = F.transform(total["_m"], lambda x: F.when(x > float("-inf"), x))
-        mean = concat_vectors(mean, tops)
-    return grouped.select(key, F.when(total["_n"] != 0, mean).cast("array<double>").alias("vector"))
+        arrays.append(_lists(np.maximum.reduceat(matrix("_m"), starts, axis=0), dims))
+    yield pa.RecordBatch.from_arrays(arrays, names=["key", "_n", "_s", *(["_m"] if pooled else [])])
 
 
 def mean_vectors(

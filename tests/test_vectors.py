@@ -221,9 +221,17 @@ def test_aggregate_vectors_against_brute_force(spark):
     df = spark.createDataFrame(rows, "key string, vector array<double>, tf long")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
     try:
-        got = {r["key"]: r["vector"] for r in aggregate_vectors(df, "key", 5, "tf", pooled=True).collect()}
+        ways = [{r["key"]: r["vector"] for r in aggregate_vectors(df, "key", 5, "tf", pooled=True, by_batches=b).collect()}
+                for b in (True, False)]
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for got in ways:
+        check_means(rows, got)
+
+
+def check_means(rows, got):
+    import math
+
     for key in {r[0] for r in rows}:
         mine = [r for r in rows if r[0] == key]
         total = sum(r[2] or 0 for r in mine)
