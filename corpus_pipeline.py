@@ -20,9 +20,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return jaccard.keep_one(docs)
 
 
+#: Bytes of the repeated strings this stage cuts out. A passage of over 50 words has at least
+#: 101 bytes (51 words of one byte and 50 separators), so every repeated one is covered; op2
+#: on its own keeps its 400 bytes.
+PASSAGE_BYTES = 100
+
+
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Byte strings that occur more than once are cut out of the texts."""
-    return suffixes.without_repeats(docs)
+    """Byte strings of `PASSAGE_BYTES` that occur more than once, in one text or across texts,
+    are cut out of the texts; other columns, and texts without such strings (null ones too),
+    stay as they are."""
+    return suffixes.without_repeats(docs, length=PASSAGE_BYTES)
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
