@@ -26,11 +26,44 @@ COLUMNS = {
 }
 
 
-def with_query_columns(queries: DataFrame) -> DataFrame:
-    """Queries with every column of the model, missing ones NULL, `n` defaulted."""
+DATES = ("start_date", "end_date")
+#: How a date may be typed besides Spark's own forms: day, month, year (fixed).
+TYPED_DATE = "dd-MM-yyyy"
+BAD_DATE = f"dates are {TYPED_DATE} or yyyy-MM-dd[ HH:mm:ss]"
+
+
+def _typed_date(text: Column) -> Column:
+    """A date typed as text, NULL where it is none."""
+    as_is = text.try_cast("timestamp_ntz")
+    typed = F.try_to_timestamp(text, F.lit(TYPED_DATE)).cast("timestamp_ntz")
+    return F.coalesce(as_is, typed)
+
+
+def _unreadable_dates(queries: DataFrame) -> Column:
+    """True where a date given as text cannot be read."""
+    bad = F.lit(False)
+    for name in DATES:
+        if name in queries.columns and queries.schema[name].dataType.simpleString() == "string":
+            bad = bad | (F.col(name).isNotNull() & _typed_date(F.col(name)).isNull())
+    return bad
+
+
+def with_query_columns(queries: DataFrame, unreadable: str = "raise") -> DataFrame:
+    """Queries with every column of the model, missing ones NULL, `n` defaulted.
+
+    Dates given as text may be typed `dd-MM-yyyy` too. One that cannot be read stops the
+    job, or with `unreadable="null"` becomes NULL (`validate_queries` rejects such rows).
+    """
     for name, kind in COLUMNS.items():
         have = F.col(name) if name in queries.columns else F.lit(None)
-        queries = queries.withColumn(name, have.cast(kind))
+        if name in DATES and name in queries.columns and queries.schema[name].dataType.simpleString() == "string":
+            read = _typed_date(have)
+            if unreadable == "raise":
+                message = F.concat(F.lit(f"{name} cannot be read: "), have)
+                read = F.when(have.isNull() | read.isNotNull(), read).otherwise(F.raise_error(message))
+            queries = queries.withColumn(name, read.cast(kind))
+        else:
+            queries = queries.withColumn(name, have.cast(kind))
     return queries.withColumn("n", F.coalesce("n", F.lit(TOP_N)))
 
 
@@ -62,7 +95,11 @@ def reject_reason(years: Iterable[int] = ALLOWED_YEARS) -> Column:
 def validate_queries(
     queries: DataFrame, years: Iterable[int] = ALLOWED_YEARS
 ) -> tuple[DataFrame, DataFrame]:
-    """(valid queries, rejected queries with their `reason`)."""
-    checked = with_query_columns(queries).withColumn("reason", reject_reason(years))
+    """(valid queries, rejected queries with their `reason`); a date typed as text that cannot
+    be read is a reason too."""
+    unreadable = _unreadable_dates(queries)
+    checked = with_query_columns(queries.withColumn("_unreadable", unreadable), "null").withColumn(
+        "reason", F.when(F.col("_unreadable"), F.lit(BAD_DATE)).otherwise(reject_reason(years))
+    ).drop("_unreadable")
     valid = checked.filter(F.col("reason").isNull()).drop("reason")
     return valid, checked.filter(F.col("reason").isNotNull())

@@ -344,3 +344,18 @@ def test_blocks_one_at_a_time_with_own_k(spark, index, monkeypatch):
     for q, _, _, rank in whole:
         per.setdefault(q, []).append(rank)
     assert all(sorted(r) == list(range(1, ks[q] + 1)) for q, r in per.items())
+
+
+def test_typed_dates_and_unreadable_ones(spark):
+    """dd-MM-yyyy reads like ISO; what cannot be read is a rejected row, not a failed batch."""
+    from affinitext.operators.queries import BAD_DATE, validate_queries
+
+    rows = [(1, "a", "01-03-2020", "15-06-2021"), (2, "b", "2020-03-01", "2021-06-15 00:00:00"),
+            (3, "c", "31-02-2020", None), (4, "d", "soon", None), (5, "e", None, None)]
+    queries = spark.createDataFrame(rows, "query_id long, text string, start_date string, end_date string")
+    valid, rejected = validate_queries(queries)
+    got = {r["query_id"]: (r["start_date"], r["end_date"]) for r in valid.collect()}
+    assert got[1] == got[2] == (dt.datetime(2020, 3, 1), dt.datetime(2021, 6, 15)) and got[5] == (None, None)
+    assert {r["query_id"]: r["reason"] for r in rejected.collect()} == {3: BAD_DATE, 4: BAD_DATE}
+    with pytest.raises(PySparkException):
+        with_query_columns(queries).collect()
