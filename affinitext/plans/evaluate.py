@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from affinitext.functions.text import display_text, join_tokens
-from affinitext.operators.compare import compare_models
+from affinitext.operators.compare import compare_models, stack_results
 from affinitext.operators.lookup import rows_by_id
 from affinitext.plans.search import batch_search
 
@@ -53,14 +53,26 @@ def evaluate(
     corpus: DataFrame,
     models: Mapping[str, tuple[DataFrame, DataFrame]],
     n: int = EVAL_TOP,
+    sheet: bool = False,
 ) -> DataFrame:
-    """One row per evaluation document and rank, one column of shown text per model."""
-    wide = compare_models(rank_by_model(eval_set, corpus, models, n))
+    """One row per evaluation document and rank, one column of shown text per model.
+
+    With `sheet`, the judging sheet: `BEST` follows, empty, for the judge's choice of model
+    (`operators.compare.tally` counts it), and `is_self`, true where a model's hit at that
+    rank is the evaluation document's own text.
+    """
+    ranked = rank_by_model(eval_set, corpus, models, n)
+    wide = compare_models(ranked)
     asked = eval_set.select(
         "id",
         join_tokens(F.col("preprocessed_text")).alias("query_tokens"),
         F.col("text_cleaned").alias("query_doc"),
     )
-    return asked.join(wide, "id").select(
-        "id", "query_tokens", "query_doc", "rank", *models
+    found = asked.join(wide, "id").select("id", "query_tokens", "query_doc", "rank", *models)
+    if not sheet:
+        return found
+    selfs = stack_results({name: df.select("id", "rank", "is_self") for name, df in ranked.items()})
+    selfs = selfs.groupBy("id", "rank").agg(F.max(F.col("is_self").cast("int")).cast("boolean").alias("is_self"))
+    return found.join(selfs, ["id", "rank"]).select(
+        "id", "query_tokens", "query_doc", "rank", *models, F.lit(None).cast("string").alias("BEST"), "is_self"
     )

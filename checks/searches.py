@@ -406,3 +406,19 @@ def e2_search_shared_ids(spark, sf_dir):
     found = batch_search(queries, index, docs)
     return found.select("query_id", F.col("rank").cast("bigint").alias("rank"), "id",
                         rounded("cosine_sim_score").alias("cosine_sim_score"))
+
+
+@case(with_ctes(EVALUATED, f"""
+SELECT id, rank, any_value(query_doc) AS query_doc,
+       (SELECT array_to_string({plain_list('text')}, ' ') FROM documents WHERE doc_id = best.id)
+         AS query_tokens,
+       max(shown) FILTER (model = 'simple_w2v_results') AS simple_w2v_results,
+       max(shown) FILTER (model = 'improved_w2v_results') AS improved_w2v_results,
+       NULL::VARCHAR AS "BEST", bool_or(coalesce(hit_text = query_doc, false)) AS is_self
+FROM (SELECT *, 'TEXT : ' || chr(10) || hit_text || chr(10) || chr(10) || ' SCORE : ' || chr(10)
+             || (round(score, 2) + 0.0)::VARCHAR AS shown FROM best) best
+GROUP BY id, rank"""))
+def e3_judging_sheet(spark, sf_dir):
+    """The sheet a judge fills: shown texts per model, an empty BEST and is_self."""
+    found = evaluate(*eval_inputs(spark, sf_dir), sheet=True)
+    return found.withColumn("rank", F.col("rank").cast("bigint"))
