@@ -359,3 +359,16 @@ def test_typed_dates_and_unreadable_ones(spark):
     assert {r["query_id"]: r["reason"] for r in rejected.collect()} == {3: BAD_DATE, 4: BAD_DATE}
     with pytest.raises(PySparkException):
         with_query_columns(queries).collect()
+
+
+def test_year_hull_ends_inside_its_year(spark):
+    """The dates a block of year queries reaches stop before the next year, folder included."""
+    from affinitext.operators import score as scoring
+
+    rows = [(1, dt.datetime(2020, 12, 31, 23, 59, 59), 2020), (2, dt.datetime(2021, 1, 1), 2021),
+            (3, dt.datetime(2020, 1, 1), 2020), (4, dt.datetime(2019, 12, 31, 23), 2019)]
+    candidates = spark.createDataFrame(rows, "id long, pub_date timestamp_ntz, year int")
+    nat = np.array(["NaT"], dtype="datetime64[us]")
+    block = scoring.QueryBlock(ids=np.array([0]), vectors=np.ones((1, 2)), start=nat, end=nat,
+                               day=np.array([0]), month=np.array([0]), year=np.array([2020]))
+    assert sorted(r["id"] for r in scoring._within_reach(candidates, block).collect()) == [1, 3]
