@@ -125,13 +125,13 @@ def mix(
     """Which words of which documents stand at which slot of the mix.
 
     A null text has size 0 and is never read; a null source is a source of its own; repeated
-    rows each count; an empty table gives an empty mix. Sources are known to the driver (one
+    rows each count, and rows that differ in source only are documents of their own sources; an empty table gives an empty mix. Sources are known to the driver (one
     number each); documents are ordered by a hash of doc_id and text, in buckets of about
     `ORDERED_ROWS`, with the buckets' sums added up over the buckets.
     """
     spark = docs.sparkSession
     rows = (
-        with_key(docs.select("doc_id", "text", "source"))
+        with_key(docs.select("doc_id", "text", "source"), "source")
         .select("doc_id", F.col("source").cast("string").alias("source"), *KEY,
                 count_words(text_of()).alias("size"))
         .groupBy("doc_id", "source", *KEY, "size").agg(F.count("*").alias("_m"))
@@ -201,15 +201,20 @@ def repeat_documents(docs: DataFrame, **settings) -> DataFrame:
     """`docs` as often as the mix reads them, in whole documents, with all their columns.
 
     A document read in part once, or in part a second time, is there once, or twice; one that
-    is not read is left out. Documents without words are kept once.
+    is not read is left out. Documents without words are kept once. Columns of `docs` keep
+    their names and values, whatever they are called.
     """
     counts = taken_words(mix(docs, **settings)).groupBy(*KEY).agg(
         F.sum(F.when(F.col("size") == 0, 1).otherwise(F.ceil(F.col("taken") / F.col("size"))))
-        .alias("_n"), F.count("*").alias("_rows"),
+        .alias("__n"), F.count("*").alias("__rows"),
     )
-    keyed = with_key(docs).join(counts, KEY)
+    names = docs.columns
+    held = docs.select(
+        *[F.col(f"`{c}`").alias(f"__c{i}") for i, c in enumerate(names)], "doc_id", "text", "source"
+    )
+    keyed = with_key(held, "source").join(counts, KEY)
     # Rows that share a key share its copies.
-    each = F.ceil(F.col("_n") / F.col("_rows")).cast("int")
-    return keyed.withColumn("_i", F.explode(F.array_repeat(F.lit(0), each))).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
+    each = F.ceil(F.col("__n") / F.col("__rows")).cast("int")
+    return keyed.withColumn("__i", F.explode(F.array_repeat(F.lit(0), each))).select(
+        *[F.col(f"__c{i}").alias(c) for i, c in enumerate(names)]
     )

@@ -319,3 +319,21 @@ def test_pipeline(spark):
     assert packed.select("doc_id").join(table, "doc_id", "left_anti").count() == 0
     assert [k for k, _ in corpus_pipeline.STAGES] == [
         "quality_rules", "near_duplicates", "suffix_dedup", "source_mixing", "best_fit_packing"]
+
+
+def test_mixing_rows_that_differ_in_source_only(spark):
+    """Two sources holding one text under one id are two documents; clashing names survive."""
+    rows = [(1, "a b c d", "x", 5, 6, 7, 8, 9, 10), (1, "a b c d", "y", 5, 6, 7, 8, 9, 10),
+            (2, "e f g h i j", "x", 5, 6, 7, 8, 9, 10), (3, "k l", "z", 5, 6, 7, 8, 9, 10)]
+    docs = spark.createDataFrame(
+        rows, "doc_id bigint, text string, source string, _k1 bigint, _k2 bigint, _n int, _rows int, _i int, _kept int")
+    got = mixing.taken_words(mixing.mix(docs)).collect()
+    assert len(got) == 4 and all(r["taken"] <= 2 * r["size"] for r in got)
+    per = {}
+    for r in got:
+        per[r["source"]] = per.get(r["source"], 0) + r["taken"]
+    targets = {r["source"]: r["target"] for r in got}
+    assert all(abs(per[s] - targets[s]) <= 1 for s in per)
+    out = mixing.repeat_documents(docs).collect()
+    assert out and all(tuple(r)[3:] == (5, 6, 7, 8, 9, 10) for r in out)
+    assert {r["source"] for r in out} <= {"x", "y", "z"}
