@@ -132,11 +132,13 @@ def nearest(
 
     Vectors that are null, zero, of another length, or hold nulls or non-finite numbers take no
     part, nor do rows with a null id. Equal scores go by vec_id; a row is never its own
-    neighbour, rows that repeat its id neither. An empty table gives no rows. Every vector is
+    neighbour, rows that repeat its id neither. Rows repeated whole count once; an id with
+    several vectors asks once, by the least of them, and each of its vectors is a candidate. An empty table gives no rows. Every vector is
     indexed; leaves with many vectors or many queries are dealt to several tasks.
     """
     spark = vectors.sparkSession
-    rows = stored(usable(vectors))
+    # A row repeated whole is one candidate; an id that asks is one query, by its least vector.
+    rows = stored(usable(vectors).dropDuplicates(["vec_id", "v"]))
     total = rows.count()
     share = max(1, total // fit_vectors)
     sample = rows.filter(F.pmod(F.xxhash64("vec_id"), F.lit(share)) == 0).select("v").limit(2 * fit_vectors)
@@ -166,7 +168,8 @@ def nearest(
             )
 
     indexed = stored(rows.mapInArrow(index, "leaf int, vec_id bigint, v array<double>"))
-    asked = rows.filter(F.pmod("vec_id", F.lit(every)) == 0).select(F.col("vec_id").alias("query_id"), F.col("v").alias("q"))
+    asked = rows.filter(F.pmod("vec_id", F.lit(every)) == 0).groupBy(F.col("vec_id").alias("query_id")).agg(
+        F.min("v").alias("q"))
     visiting = stored(asked.mapInArrow(route, "leaf int, query_id bigint, q array<double>"))
     # One row per leaf, and the sample bounds the leaves.
     parts = F.broadcast(

@@ -337,3 +337,17 @@ def test_mixing_rows_that_differ_in_source_only(spark):
     out = mixing.repeat_documents(docs).collect()
     assert out and all(tuple(r)[3:] == (5, 6, 7, 8, 9, 10) for r in out)
     assert {r["source"] for r in out} <= {"x", "y", "z"}
+
+
+def test_neighbours_with_repeated_rows(spark):
+    """A repeated query asks once, repeated candidates count once: five different neighbours."""
+    rng = np.random.default_rng(4)
+    vecs = {i: rng.normal(size=6).tolist() for i in range(1, 120)}
+    rows = [(i, v) for i, v in vecs.items()] + [(50, vecs[50]), (4, vecs[4]), (4, vecs[4]), (30, vecs[30])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = neighbours.nearest(table).toPandas()
+    for q, hits in got.groupby("query_id"):
+        assert sorted(hits["rank"]) == [1, 2, 3, 4, 5] and hits["vec_id"].is_unique
+        x = np.array(vecs[q])
+        want = sorted((i for i in vecs if i != q), key=lambda i: (-np.dot(vecs[i], x) / np.linalg.norm(vecs[i]) / np.linalg.norm(x), i))[:5]
+        assert list(hits.sort_values("rank")["vec_id"]) == want
