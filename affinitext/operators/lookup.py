@@ -8,13 +8,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from affinitext.session import cut_lineage
+
 BROADCAST_BYTES = 256 * 2**20
 SALTS = 64
 PUSHED_IDS = 200
-#: Keys with more rows than this are salted, the heaviest HOT_KEYS of them at most: any
-#: other key has less than one HOT_KEYS-th of the rows.
+#: Keys with more rows than HOT_ROWS, or than one HOT_KEYS-th of all rows if that is more,
+#: are salted, every one of them, in proportion to their rows. So at most HOT_KEYS keys are
+#: salted (a table of bounded size to broadcast), and no unsalted key holds more rows than that.
 HOT_ROWS = 100_000
-HOT_KEYS = 1000
+HOT_KEYS = 100_000
 
 
 def table_bytes(table: DataFrame) -> int:
@@ -55,15 +58,15 @@ def lookup_join(
     A table measured to be within the broadcast limit is broadcast, so `rows` do not move.
     A larger one is joined by shuffle on the key. Keys with many rows are found by a count
     first; they alone get a salt taken from the `spread` columns, so that a hot key is shared
-    out over `salts` tasks and only its row of the table is copied. Rows without a key are
-    salted too.
+    out over one task per `hot_rows` of its rows (or per HOT_KEYS-th of all rows), and only
+    its row of the table is copied as often. Rows without a key are spread over `salts`.
     """
     if broadcast is None:
         broadcast = fits_broadcast(table)
     if broadcast:
         return rows.join(F.broadcast(table), on, how)
     spread = [spread] if isinstance(spread, str) else list(spread)
-    hot = _hot_keys(rows, on, hot_rows).withColumn("_salts", F.lit(salts))
+    hot = _hot_keys(rows, on, hot_rows)
     own = F.coalesce("_salts", F.when(F.col(on).isNull(), salts), F.lit(1))
     salted_rows = rows.join(F.broadcast(hot), on, "left").withColumn(
         "_salt", F.pmod(F.xxhash64(*spread), own).cast("int")
@@ -76,11 +79,13 @@ def lookup_join(
 
 
 def _hot_keys(rows: DataFrame, on: str, least: int) -> DataFrame:
-    """The keys with more than `least` rows, at most `HOT_KEYS`, settled once for both sides."""
+    """(key, `_salts`) of every key with more than `least` rows, or than a HOT_KEYS-th of all
+    rows if that is more; salts in proportion to the rows. Written once for both sides."""
     counts = rows.filter(F.col(on).isNotNull()).groupBy(on).agg(F.count(F.lit(1)).alias("_n"))
-    heaviest = counts.filter(F.col("_n") > least).orderBy(F.desc("_n"), on).limit(HOT_KEYS)
-    keys = [(row[on],) for row in heaviest.collect()]
-    return rows.sparkSession.createDataFrame(keys, counts.select(on).schema)
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    least = max(least, -(-total // HOT_KEYS), 1)
+    hot = counts.filter(F.col("_n") > least).select(on, F.ceil(F.col("_n") / least).cast("int").alias("_salts"))
+    return cut_lineage(hot)
 
 
 def rows_by_id(

@@ -15,3 +15,13 @@ def test_hot_keys_keep_their_rows(spark, how):
         found = lookup_join(rows, table, "word", "id", how, broadcast=False, salts=8, hot_rows=least)
         assert found.columns == ["word", "id", "x"]
         assert sorted(found.select("id", "word", "x").collect(), key=str) == plain
+
+
+def test_every_hot_key_is_salted_in_proportion(spark):
+    from affinitext.operators import lookup
+
+    pairs = [(i, "hot") for i in range(300)] + [(i, "warm") for i in range(120)] + [(i, f"w{i}") for i in range(40)]
+    rows = spark.createDataFrame(pairs, "id bigint, word string")
+    got = {r["word"]: r["_salts"] for r in lookup._hot_keys(rows, "word", 50).collect()}
+    assert got == {"hot": 6, "warm": 3}
+    assert lookup._hot_keys(rows.limit(0), "word", 50).count() == 0
