@@ -126,11 +126,13 @@ def write_archives(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
     null url an empty one; an empty table writes no bundle. Every bundle has a name of its
     own, and only bundles that the index names count, so a task that runs twice does no harm.
     """
-    folder = shared_folder(pages.sparkSession)
-    folder = (folder if "://" in folder else f"file://{folder}") + f"/warc-{uuid.uuid4().hex}"
+    # A folder without a scheme is where Hadoop puts it (fs.defaultFS), as Spark reads it.
     jvm = pages.sparkSession.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(folder)
-    target.getFileSystem(pages.sparkSession._jsparkSession.sessionState().newHadoopConf()).mkdirs(target)
+    conf = pages.sparkSession._jsparkSession.sessionState().newHadoopConf()
+    base = jvm.org.apache.hadoop.fs.Path(shared_folder(pages.sparkSession))
+    store = base.getFileSystem(conf)
+    folder = f"{store.makeQualified(base).toString().rstrip('/')}/warc-{uuid.uuid4().hex}"
+    store.mkdirs(jvm.org.apache.hadoop.fs.Path(folder))
     html = F.coalesce(F.col("html").cast("string"), F.lit(""))
     rows = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), F.coalesce(F.col("url").cast("string"), F.lit("")).alias("url"),
