@@ -242,3 +242,48 @@ def check_means(rows, got):
         tops = [max((r[1][i] for r in mine if r[1] and i < len(r[1])), default=None) for i in range(5)]
         want = [s / total for s in sums] + tops
         assert all((a is None and b is None) or math.isclose(a, b, abs_tol=1e-9) for a, b in zip(got[key], want))
+
+
+@pytest.mark.parametrize("pooled", [False, True])
+@pytest.mark.parametrize("travel, block", [(0, 400), (300, 10**6), (10**6, 10**6)])
+def test_sums_per_row_whatever_travels(spark, pooled, travel, block):
+    """Brute force: repeated and null ids, null words and texts, 60 components in 3 slices, and
+    blocks that hold a few words each; no occurrence is ever joined with its vector."""
+    from affinitext.operators.word_sums import sums_per_row
+
+    space = {f"w{i}": rng.normal(size=60) for i in range(40)}
+    texts = [[f"w{j}" for j in rng.integers(0, 50, size=rng.integers(0, 30))] for _ in range(60)]
+    texts += [None, [], ["w1", None, "w1"], ["unknown"]]
+    ids = [None if i == 7 or i == 8 else i // 2 for i in range(len(texts))]
+    docs = spark.createDataFrame(list(zip(ids, texts)), "id long, words array<string>")
+    words = spark.createDataFrame([(w, x.tolist()) for w, x in space.items()], "word string, vector array<double>")
+    found = sums_per_row(docs, words, "id", "words", 60, 40 * 540, pooled, travel, block)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(get(" not in plan and "get(vector" not in plan
+    want = {}
+    for i, text in zip(ids, texts):
+        want.setdefault(i, []).extend(space[w] for w in text or [] if w in space)
+    want = {i: np.array(vs) for i, vs in want.items() if vs}
+    got = {row["id"]: row["vector"] for row in found.collect()}
+    assert set(got) == set(want) and found.count() == len(want)
+    for i, vs in want.items():
+        expected = np.r_[vs.mean(axis=0), vs.max(axis=0)] if pooled else vs.mean(axis=0)
+        np.testing.assert_allclose(got[i], expected, atol=1e-12)
+
+
+def test_large_vocabulary_does_not_meet_occurrences(spark, docs, words):
+    """Vectors once were joined with every (document, word) and summed after a shuffle."""
+    for found in (mean_vectors(docs, words, broadcast=False), pooled_vectors(docs, words, broadcast=False)):
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "get(vector" not in plan
+    got = {row["id"]: row["vector"] for row in pooled_vectors(docs, words, broadcast=False).collect()}
+    pair = np.array([SPACE["chat"], SPACE["chat"], SPACE["chien"]])
+    np.testing.assert_allclose(got[1], np.r_[pair.mean(axis=0), pair.max(axis=0)], atol=1e-12)
+    assert set(got) == {0, 1, 4}
+
+
+def test_repeated_words_still_count_each_time(spark, docs):
+    """Such a vocabulary is joined row by row as before."""
+    twice = spark.createDataFrame([("chat", [1.0, 0.0]), ("chat", [0.0, 3.0])], "word string, vector array<double>")
+    got = {row["id"]: row["vector"] for row in pooled_vectors(docs, twice).collect()}
+    assert got[1] == [0.5, 1.5, 1.0, 3.0]
