@@ -195,3 +195,21 @@ def test_display(spark):
     ).first()
     assert row["text"] == "TEXT : \nx\n\n SCORE : \n0.13"
     assert row["score"] == "    0.13" and row["date"] == "01-03-20"
+
+
+def test_a_lexicon_too_large_to_travel_moves_rare_forms_only(spark, lexicon):
+    """Tokens once were all exploded, shuffled and collected again; now the rows stay whole and
+    only forms that do not travel are asked for, once per list. Copies, nulls and empty lists."""
+    from affinitext.operators.tokens import values_by_parts
+
+    table = spark.createDataFrame([(f"f{i}", i) for i in range(50)], "form string, value int")
+    lists = [[f"f{(i * j) % 60}" for j in range(9)] for i in range(40)] * 2
+    lists += [None, [], [None, "f1", None], ["unknown"], ["f49"]]
+    df = spark.createDataFrame(list(enumerate(lists)), "id long, tokens array<string>")
+    want = {i: None if l is None else [int(x[1:]) if x and x[1:].isdigit() and int(x[1:]) < 50 else None for x in l]
+            for i, l in enumerate(lists)}
+    for travel in (0, 300, 10**6):
+        found = values_by_parts(df, table, "tokens", "out", travel)
+        assert found.columns == ["id", "tokens", "out"]
+        assert "_pos" not in found._jdf.queryExecution().optimizedPlan().toString()
+        assert {r["id"]: r["out"] for r in found.collect()} == want
