@@ -25,3 +25,16 @@ def test_every_hot_key_is_salted_in_proportion(spark):
     got = {r["word"]: r["_salts"] for r in lookup._hot_keys(rows, "word", 50).collect()}
     assert got == {"hot": 6, "warm": 3}
     assert lookup._hot_keys(rows.limit(0), "word", 50).count() == 0
+
+
+@pytest.mark.parametrize("head_bytes", [0, 200, 10**6])
+def test_the_rows_used_most_are_broadcast_and_none_is_lost(spark, head_bytes):
+    """A table too large to broadcast sent every row of the other side through the shuffle."""
+    pairs = [(i, f"w{i % 7 if i % 3 else i}") for i in range(400)] + [(7, None), (8, None)]
+    rows = spark.createDataFrame(pairs, "id bigint, word string")
+    table = spark.createDataFrame([(f"w{i}", i) for i in range(0, 390)], "word string, x int")
+    plain = sorted(rows.join(table, "word").select("id", "word", "x").collect())
+    found = lookup_join(rows, table, "word", "id", broadcast=False, head_bytes=head_bytes)
+    assert found.columns == ["word", "id", "x"]
+    assert sorted(found.select("id", "word", "x").collect()) == plain
+    assert ("Union" in found._jdf.queryExecution().optimizedPlan().toString()) == (head_bytes > 0)
