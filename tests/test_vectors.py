@@ -287,3 +287,15 @@ def test_repeated_words_still_count_each_time(spark, docs):
     twice = spark.createDataFrame([("chat", [1.0, 0.0]), ("chat", [0.0, 3.0])], "word string, vector array<double>")
     got = {row["id"]: row["vector"] for row in pooled_vectors(docs, twice).collect()}
     assert got[1] == [0.5, 1.5, 1.0, 3.0]
+
+
+def test_missing_words_do_not_shuffle_a_vector_per_subword(spark, words):
+    """The vectors of a missing word's subwords once were joined one by one and summed after."""
+    missing = spark.createDataFrame([("chats",), ("zzz",), ("ponton",), (None,)], "word string")
+    found = oov_vectors(words, missing, broadcast=False)
+    assert "sum(get(" not in found._jdf.queryExecution().optimizedPlan().toString()
+    near = by_key(found, "word")
+    other = by_key(oov_vectors(words, missing, broadcast=True), "word")
+    assert near.keys() == other.keys() and near[None] is None and near["zzz"] is None
+    for word in ("chats", "ponton"):
+        assert np.allclose(near[word], other[word])
