@@ -374,3 +374,35 @@ def test_year_hull_ends_inside_its_year(spark):
     block = scoring.QueryBlock(ids=np.array([0]), vectors=np.ones((1, 2)), start=nat, end=nat,
                                day=np.array([0]), month=np.array([0]), year=np.array([2020]))
     assert sorted(r["id"] for r in scoring._within_reach(candidates, block).collect()) == [1, 3]
+
+
+def test_many_blocks_are_dealt_to_tasks(spark, index, corpus, monkeypatch):
+    """Queries of many blocks are answered in one job, without a block on the driver, and
+    give the rows of one block: dates, copies, missing vectors and own k included."""
+    from affinitext.operators import score as scoring
+
+    resolved = resolve_queries(as_table(spark, make_queries()), index, corpus).withColumn(
+        "k", (F.col("query_id") % 4 + 1).cast("int"))
+    whole = sorted(tuple(r) for r in best_candidates(resolved, index, 4, k_col="k").collect())
+    monkeypatch.setattr(scoring, "_collect_block", lambda df: pytest.fail("a block came to the driver"))
+    found = best_candidates(resolved, index, 4, block_bytes=300, k_col="k")
+    assert sorted(tuple(r) for r in found.collect()) == whole
+    years = resolved.filter("year is not null").withColumn("start_date", F.lit(None).cast("timestamp_ntz")).withColumn(
+        "end_date", F.col("start_date"))
+    assert years.count() > 0
+    some = sorted(r["query_id"] for r in best_candidates(years, index, 4, block_bytes=100, k_col="k").collect())
+    assert some == sorted(q for q, *_ in whole if q in {r["query_id"] for r in years.collect()})
+
+
+def test_rough_scores_lose_no_hit(spark):
+    """Scores nearer to each other than single precision tells still rank by double precision."""
+    base = np.random.default_rng(1).normal(size=32)
+    rows = [(i, (base + 1e-7 * np.random.default_rng(i).normal(size=32)).tolist()) for i in range(400)]
+    rows += [(900, [float("inf")] * 32), (901, [float("nan")] * 32), (902, [0.0] * 32)]
+    vectors = spark.createDataFrame(rows, "id long, vector array<double>")
+    queries = with_query_columns(vectors.filter("id < 20").select(F.col("id").alias("query_id"), "vector"))
+    for size in (8 * 2**20, 300):
+        found = best_candidates(queries, vectors.coalesce(1), 5, block_bytes=size).collect()
+        for q in range(20):
+            want = sorted(range(400), key=lambda i: (-round(score(rows[q][1], rows[i][1]), 9), i))[:5]
+            assert [r["id"] for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q] == want
