@@ -351,3 +351,25 @@ def test_neighbours_with_repeated_rows(spark):
         x = np.array(vecs[q])
         want = sorted((i for i in vecs if i != q), key=lambda i: (-np.dot(vecs[i], x) / np.linalg.norm(vecs[i]) / np.linalg.norm(x), i))[:5]
         assert list(hits.sort_values("rank")["vec_id"]) == want
+
+
+def test_suffix_dedup_reads_copied_slices_once(spark, monkeypatch):
+    """Of an anchor in very many slices each different slice is looked at once: the windows
+    made grow with the different slices, not with the copies, and the result is the same."""
+    draw = random.Random(5)
+    own = ["".join(draw.choice("abcdefgh ") for _ in range(900)) for _ in range(4)]
+    texts = [own[i % 3] for i in range(60)] + [own[3], own[0][200:700] + own[3][:300], "x" * 1500, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    want = rows_of(suffixes.removed_repeats(docs), *columns)
+    assert sum(r[2] for r in want) > 60 * 800
+    looked_at, real = [], suffixes._windows
+
+    def counted(slices, length, back):
+        looked_at.append(slices.count())
+        return real(slices, length, back)
+
+    monkeypatch.setattr(suffixes, "HOT_SLICES", 3)
+    monkeypatch.setattr(suffixes, "_windows", counted)
+    assert rows_of(suffixes.removed_repeats(docs), *columns) == want
+    assert looked_at and max(looked_at) < 40, looked_at
