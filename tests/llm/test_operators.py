@@ -373,3 +373,28 @@ def test_suffix_dedup_reads_copied_slices_once(spark, monkeypatch):
     monkeypatch.setattr(suffixes, "_windows", counted)
     assert rows_of(suffixes.removed_repeats(docs), *columns) == want
     assert looked_at and max(looked_at) < 40, looked_at
+
+
+def test_suffix_dedup_leaves_out_windows_no_other_slice_has(spark, monkeypatch):
+    """Of a passage in very many texts that differ left of it, windows that begin in what is a
+    text's own are not looked at; the exact ends are the same."""
+    draw = random.Random(6)
+    words = lambda n: "".join(draw.choice("abcdefgh ") for _ in range(n))
+    passage, shared = words(450), words(60)
+    texts = [words(700) + (shared if i % 4 == 0 else "") + passage + words(700) for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    want = rows_of(suffixes.removed_repeats(docs), *columns)
+
+    windows, real = [], suffixes._windows
+
+    def counted(slices, length, back):
+        windows.append(slices.selectExpr(f"sum(octet_length(bytes) - {length} + 1)").first()[0] or 0)
+        return real(slices, length, back)
+
+    monkeypatch.setattr(suffixes, "HOT_SLICES", 3)
+    monkeypatch.setattr(suffixes, "_windows", counted)
+    assert rows_of(suffixes.removed_repeats(docs), *columns) == want
+    plain = {i: len(passage) + (len(shared) if i % 4 == 0 else 0) for i in range(60)}
+    assert all(0 <= r[2] - plain[r[0]] < 8 for r in want)
+    assert sum(windows) and max(windows) < 60 * 100
