@@ -11,6 +11,7 @@ from affinitext.functions.text import display_text, join_tokens
 from affinitext.operators.compare import compare_models, stack_results
 from affinitext.operators.lookup import rows_by_id
 from affinitext.plans.search import batch_search
+from affinitext.session import cut_lineage
 
 EVAL_TOP = 3  # fixed value: ranks looked at per evaluation document
 
@@ -26,7 +27,10 @@ def rank_by_model(
     A model is a pair of (id, vector) tables: evaluation documents and corpus. Nothing is
     left out as the query itself; `is_self` tells where it was found. An evaluation document
     without a vector in a model has one row there, of rank 1 and without a hit.
+
+    The evaluation set and each model's few hits are written, since each is read several times.
     """
+    eval_set = cut_lineage(eval_set)
     ranked = {}
     for name, (query_vectors, corpus_vectors) in models.items():
         asked = eval_set.select("id", F.col("text_cleaned").alias("query"))
@@ -37,14 +41,14 @@ def rank_by_model(
             queries, corpus_vectors, corpus.select("id", "text_cleaned"), "none", clamp=False
         )
         hits = eval_set.select(F.col("id").alias("query_id")).distinct().join(hits, "query_id", "left")
-        ranked[name] = hits.select(
+        ranked[name] = cut_lineage(hits.select(
             F.col("query_id").alias("id"),
             F.coalesce("rank", F.lit(1)).alias("rank"),
             F.col("id").alias("hit_id"),
             "cosine_sim_score",
             display_text(F.col("text_cleaned"), F.col("cosine_sim_score")).alias("shown"),
             F.coalesce(F.col("text_cleaned") == F.col("query"), F.lit(False)).alias("is_self"),
-        )
+        ))
     return ranked
 
 
@@ -61,6 +65,7 @@ def evaluate(
     (`operators.compare.tally` counts it), and `is_self`, true where a model's hit at that
     rank is the evaluation document's own text.
     """
+    eval_set = cut_lineage(eval_set)
     ranked = rank_by_model(eval_set, corpus, models, n)
     wide = compare_models(ranked)
     asked = eval_set.select(

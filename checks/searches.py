@@ -8,6 +8,7 @@ from affinitext.functions.text import plain_tokens
 from affinitext.operators.compare import compare_models, self_hits
 from affinitext.operators.corpus import ROW_KEY, build_eval_set, filter_before, filter_years, with_row_key
 from affinitext.operators.doc_vectors import attach_vectors, build_index, mean_vectors
+from affinitext.operators.lookup import rows_by_id
 from affinitext.operators.queries import with_query_columns
 from affinitext.operators.rank import clamp_n, exclude_self, rank_per_query, top_n
 from affinitext.operators.score import best_candidates, score_all
@@ -297,7 +298,7 @@ def eval_inputs(spark, sf_dir):
     """25 + 25 sampled documents and two models, mean and pooled vectors."""
     docs = corpus(spark, sf_dir)
     picked = build_eval_set(filter_years(docs), filter_before(docs), 25, "7")
-    picked = picked.join(tokens(spark, sf_dir), "id")
+    picked = rows_by_id(tokens(spark, sf_dir), picked)
     simple, improved = doc_vectors(spark, sf_dir), pooled(spark, sf_dir)
     models = {"simple_w2v_results": (simple, simple), "improved_w2v_results": (improved, improved)}
     return picked, docs, models

@@ -406,3 +406,25 @@ def test_rough_scores_lose_no_hit(spark):
         for q in range(20):
             want = sorted(range(400), key=lambda i: (-round(score(rows[q][1], rows[i][1]), 9), i))[:5]
             assert [r["id"] for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q] == want
+
+
+def test_evaluate_works_out_the_evaluation_set_once(spark):
+    """However many steps and models use it, the evaluation set is computed once."""
+    from pyspark.sql import functions as F
+
+    from affinitext.plans.evaluate import evaluate
+
+    worked_out = spark.sparkContext.accumulator(0)
+
+    def cleaned(i):
+        worked_out.add(1)
+        return f"text {i}"
+
+    text = F.udf(cleaned, "string")
+    ids = spark.range(1, 4)
+    asked = ids.select("id", text("id").alias("text_cleaned"), F.array(F.lit("text")).alias("preprocessed_text"))
+    docs = spark.range(1, 7).select("id", F.concat(F.lit("text "), F.col("id").cast("string")).alias("text_cleaned"))
+    vectors = spark.range(1, 7).select("id", F.array(F.col("id").cast("double"), F.lit(1.0)).alias("vector"))
+    sheet = evaluate(asked, docs, {"a": (vectors, vectors), "b": (vectors, vectors)}, 2, sheet=True).collect()
+    assert len(sheet) == 6 and sum(r.is_self for r in sheet) == 3
+    assert worked_out.value == 3
