@@ -7,12 +7,14 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from affinitext.functions import vectors as v
+from affinitext.operators import word_sums
 from affinitext.operators.doc_vectors import (
     attach_vectors,
     build_vocab,
     mean_vectors,
     pooled_vectors,
     space_profile,
+    with_fallback,
 )
 from affinitext.operators.training import train_words
 from affinitext.operators.words import (
@@ -299,3 +301,62 @@ def test_missing_words_do_not_shuffle_a_vector_per_subword(spark, words):
     assert near.keys() == other.keys() and near[None] is None and near["zzz"] is None
     for word in ("chats", "ponton"):
         assert np.allclose(near[word], other[word])
+
+
+def test_missing_words_read_the_corpus_once(spark, words):
+    """The words to make vectors for once were found anew for every step."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = [(i, ["chat", "chatte", f"chien{i}"]) for i in range(20)]
+    docs = spark.createDataFrame(rows, "id long, preprocessed_text array<string>")
+    docs = docs.mapInArrow(counted, docs.schema)
+    for broadcast in (True, False):
+        before = read.value
+        found = oov_vectors(words, missing_words(docs, words), broadcast=broadcast)
+        assert found.count() == 21
+        assert read.value - before == 20
+
+
+def test_counting_words_makes_no_row_per_occurrence(spark, docs, words):
+    for counted in (build_vocab(docs), missing_words(docs, words)):
+        assert "Generate" not in counted._jdf.queryExecution().optimizedPlan().toString()
+    gone = spark.createDataFrame([(["a", None, "a"],), ([],), (None,), ([None, "é"],)], "w array<string>")
+    assert {(r["word"], r["n"]) for r in build_vocab(gone, 1, "w").collect()} == {
+        ("a", 2), (None, 2), ("é", 1)}
+
+
+def test_words_with_fallback_are_joined_once(spark, words):
+    """Vocabulary and fallback once were joined again by every step over the words."""
+    oov = spark.createDataFrame([("chat", [9.0] * 5), ("chatte", [1.0] * 5)], words.schema)
+    either = with_fallback(words, oov)
+    assert "Join" not in either._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["word"]: r["vector"] for r in either.collect()} == {
+        **{w: x.tolist() for w, x in SPACE.items()}, "chatte": [1.0] * 5}
+
+
+def test_no_list_is_missing_where_blocks_are_summed(spark, docs, words, monkeypatch):
+    """Arrow goes over a run of missing lists again for every row of it."""
+    seen = spark.sparkContext.accumulator(0)
+    summed = word_sums._block_sums
+
+    def watched(*given):
+        run = summed(*given)
+
+        def watch(batches):
+            for batch in batches:
+                seen.add(sum(batch.column(c).null_count for c in ("_rest", "_s", "_m")))
+                yield batch
+
+        return lambda batches: run(watch(batches))
+
+    monkeypatch.setattr(word_sums, "_block_sums", watched)
+    found = pooled_vectors(docs, words, broadcast=False)
+    got = {r["id"]: r["vector"] for r in found.collect()}
+    chosen = np.array([SPACE[w] for w in DOCS[1]])
+    assert np.allclose(got[1], np.r_[chosen.mean(axis=0), chosen.max(axis=0)])
+    assert seen.value == 0
