@@ -164,6 +164,11 @@ lexicon AS (
 
 
 def tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tokens of every document, read by each step over the corpus, like a prepared one."""
+    return stored(spark, sf_dir, "tokens", lambda: make_tokens(spark, sf_dir), spread=False)
+
+
+def make_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus(spark, sf_dir).select(
         "id", plain_tokens(F.col("text_cleaned")).alias("preprocessed_text")
     )

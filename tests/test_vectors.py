@@ -36,6 +36,7 @@ from affinitext.sources.vectors import (
     save_model,
     save_words,
 )
+from checks.inputs import make_tokens, tokens
 
 rng = np.random.default_rng(7)
 SPACE = {w: rng.normal(size=5) for w in "chat chien chaton maison route pont".split()}
@@ -360,3 +361,11 @@ def test_no_list_is_missing_where_blocks_are_summed(spark, docs, words, monkeypa
     chosen = np.array([SPACE[w] for w in DOCS[1]])
     assert np.allclose(got[1], np.r_[chosen.mean(axis=0), chosen.max(axis=0)])
     assert seen.value == 0
+
+
+def test_checks_tokenize_the_documents_once(spark):
+    """Every step over the words of the documents once worked the tokens out anew."""
+    kept = tokens(spark, "/root/testdata/sf0.001")
+    assert "regexp" not in kept._jdf.queryExecution().optimizedPlan().toString()
+    made = make_tokens(spark, "/root/testdata/sf0.001")
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, made.collect()))
