@@ -2,7 +2,7 @@
 
 import pytest
 
-from affinitext.operators.lookup import lookup_join
+from affinitext.operators.lookup import entries_by_key, lookup_join
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
@@ -38,3 +38,37 @@ def test_the_rows_used_most_are_broadcast_and_none_is_lost(spark, head_bytes):
     assert found.columns == ["word", "id", "x"]
     assert sorted(found.select("id", "word", "x").collect()) == plain
     assert ("Union" in found._jdf.queryExecution().optimizedPlan().toString()) == (head_bytes > 0)
+
+
+def _pairs(df, key="id", lists="words"):
+    plain = df.selectExpr(key, f"explode({lists}) AS word").groupBy(key, "word").count()
+    return sorted(map(str, map(tuple, plain.collect())))
+
+
+@pytest.mark.parametrize("entry", ["string", "struct<form:string,pos:string>"])
+@pytest.mark.parametrize("ids", [range(6), [1, 1, 2, None, None, 3]])
+def test_entries_by_key_counts_all_lists_of_a_key(spark, entry, ids, monkeypatch):
+    """Every pair of id and word went through a shuffle to be counted."""
+    from affinitext.operators import lookup
+
+    monkeypatch.setattr(lookup, "CELLS", 4)
+    names = [["a", "b", "a", None], [], None, ["b"], ["b", "b", "c"], ["a"]]
+    odd = {"a": ("a", None), "b": ("a", "X"), "c": (None, None)}
+    if entry != "string":
+        names = [n if n is None else [odd.get(w) for w in n] for n in names]
+    df = spark.createDataFrame(list(zip(ids, names)), f"id bigint, words array<{entry}>").coalesce(1)
+    found = entries_by_key(df, "id", "words")
+    assert found.columns == ["id", "word", "tf"]
+    assert sorted(map(str, map(tuple, found.collect()))) == _pairs(df)
+    if len(set(ids)) == 6:
+        assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lookup_tokens_moves_no_pairs_to_a_broadcast_vocabulary(spark):
+    from affinitext.operators.doc_vectors import lookup_tokens
+
+    docs = spark.createDataFrame([(1, ["a", "b", "a"]), (2, ["b", "z"])], "id bigint, preprocessed_text array<string>")
+    words = spark.createDataFrame([("a", [1.0]), ("b", [2.0])], "word string, vector array<double>")
+    found = lookup_tokens(docs, words)
+    assert sorted(map(tuple, found.collect())) == [(1, "a", 2, [1.0]), (1, "b", 1, [2.0]), (2, "b", 1, [2.0])]
+    assert "Exchange hash" not in found._jdf.queryExecution().executedPlan().toString()
