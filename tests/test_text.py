@@ -213,3 +213,34 @@ def test_a_lexicon_too_large_to_travel_moves_rare_forms_only(spark, lexicon):
         assert found.columns == ["id", "tokens", "out"]
         assert "_pos" not in found._jdf.queryExecution().optimizedPlan().toString()
         assert {r["id"]: r["out"] for r in found.collect()} == want
+
+
+def test_packed_lists_come_back_whole():
+    """Lists of tokens moved as rows of strings, three times the size of the texts."""
+    import pyarrow as pa
+
+    from affinitext.operators.tokens import _packed, _unpacked
+
+    lists = [["a", None, "", "é\x00,\"", "b" * 300], [], None, [None], ["x"] * 5000]
+    kind = pa.list_(pa.string())
+    for some in (lists, [], [[]], [None]):
+        assert _unpacked(_packed(pa.array(some, kind))).to_pylist() == some
+    cut = pa.array(lists, kind).slice(1, 3)
+    assert _unpacked(_packed(cut)).to_pylist() == lists[1:4]
+    assert len(_packed(pa.array(lists[4:], kind))[0].as_py()) < 500
+
+
+def test_by_parts_moves_packed_lists_and_no_pairs_to_count(spark):
+    """Annotated tokens were shuffled one by one to be counted."""
+    from affinitext.operators.lookup import entries_by_key
+    from affinitext.operators.tokens import annotate
+
+    entries = spark.createDataFrame([("a", "A", "N"), ("b", "B", None)], "form string, lemma string, pos string")
+    df = spark.createDataFrame([(1, ["a", "b", "a", "z"]), (2, None), (3, ["b"])], "id long, tokens array<string>")
+    for limit in (0, 10**6):
+        found = annotate(df, entries, limit=limit)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert ("_packed" in plan) == (limit == 0)
+        counts = entries_by_key(found, "id", "annotated", "a", "n").select("id", "a.*", "n")
+        assert sorted(map(str, map(tuple, counts.collect()))) == sorted(map(str, [
+            (1, "a", "A", "N", 2), (1, "b", "B", "X", 1), (1, "z", "z", "X", 1), (3, "b", "B", "X", 1)]))
