@@ -369,3 +369,14 @@ def test_checks_tokenize_the_documents_once(spark):
     assert "regexp" not in kept._jdf.queryExecution().optimizedPlan().toString()
     made = make_tokens(spark, "/root/testdata/sf0.001")
     assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, made.collect()))
+
+
+def test_subword_vectors_are_written_before_words_meet_them(spark):
+    """All shuffles from the vocabulary's subwords on lay on disk until the last step was over."""
+    from affinitext.operators.words import oov_vectors
+
+    words = spark.createDataFrame([("chat", [1.0, 2.0]), ("chats", [3.0, 4.0])], "word string, vector array<double>")
+    missing = spark.createDataFrame([("chatte",), ("zzz",)], "word string")
+    both = [oov_vectors(words, missing, broadcast=b) for b in (True, False)]
+    assert sorted(map(str, both[0].collect())) == sorted(map(str, both[1].collect()))
+    assert "LogicalRDD" not in both[0]._jdf.queryExecution().optimizedPlan().toString()
