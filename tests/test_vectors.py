@@ -380,3 +380,26 @@ def test_subword_vectors_are_written_before_words_meet_them(spark):
     both = [oov_vectors(words, missing, broadcast=b) for b in (True, False)]
     assert sorted(map(str, both[0].collect())) == sorted(map(str, both[1].collect()))
     assert "LogicalRDD" not in both[0]._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("pooled", [False, True])
+def test_sums_in_turns_leave_no_parts_behind(spark, pooled, tmp_path, monkeypatch):
+    """The parts, pieces and sums of all documents lay on disk at once."""
+    from affinitext.operators import word_sums
+
+    written, real = [], word_sums.cut_lineage
+    monkeypatch.setattr(word_sums, "cut_lineage", lambda df, **o: written.append(real(df, **o)) or written[-1])
+    docs = [(i % 23 if i % 9 else None, [f"w{(i * j) % 31}" for j in range(7)]) for i in range(60)]
+    docs = spark.createDataFrame(docs, "id long, words array<string>")
+    words = spark.createDataFrame([(f"w{i}", rng.normal(size=30).tolist()) for i in range(28)],
+                                  "word string, vector array<double>")
+    one, many = (
+        {r["id"]: r["vector"] for r in word_sums.sums_per_row(
+            docs, words, "id", "words", 30, 10**4, pooled, 900, 10**6, turn).collect()}
+        for turn in (10**6, 100))
+    assert set(one) == set(many) and len(one) == 24
+    for i in one:
+        np.testing.assert_allclose(one[i], many[i], atol=1e-12)
+    kept = [df for df in written if "_rest" in df.columns]
+    there = [spark._jvm.java.io.File(df.inputFiles()[0].removeprefix("file:")).exists() for df in kept]
+    assert len(kept) == 6 and there == [True] + [False] * 5
